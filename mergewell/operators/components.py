@@ -8,22 +8,22 @@ from pyspark.sql import functions as F
 from mergewell.session import cut_lineage
 
 
-def connected_components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, left: str, right: str, max_rounds: int = 60, rows: int | None = None) -> DataFrame:
     """Returns (node, component) for every node of an edge; component is the smallest node reachable.
 
     Alternates large-star and small-star steps, so long chains take a logarithmic number of rounds.
     Each step is a minimum per node, summed before the shuffle, joined back to the edges, so a node
     with very many edges is split by adaptive skew joins instead of being gathered. Every round ends in
-    a checkpoint: a lost executor costs a round at most. Self-loops and null ends are dropped, repeated
+    a checkpoint: a lost executor costs a round at most. rows is about how many rows the edges take to find. Self-loops and null ends are dropped, repeated
     edges count once, and an empty edge list gives an empty result.
     """
     ends = edges.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u is not null and v is not null and u <> v")
-    current = cut_lineage(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    current = cut_lineage(ends.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), rows)
     state = _digest(current)
     for _ in range(max_rounds):
         if state[0] == 0:
             break
-        current = cut_lineage(_small_star(_large_star(current)))
+        current = cut_lineage(_small_star(_large_star(current)), 2 * state[0])
         now = _digest(current)
         if now == state:
             break

@@ -34,7 +34,24 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialises df as a reliable checkpoint in the shared folder and returns it without its lineage."""
+#: Rows of a narrow table that one checkpoint file should hold.
+ROWS_PER_FILE = 25_000
+
+
+def cut_lineage(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Materialises df as a reliable checkpoint in the shared folder and returns it without its lineage.
+
+    rows is about how many narrow rows the last step handles: fewer partitions than that many rows call
+    for are not written, so that a small table does not become a file for every shuffle partition. More
+    rows than the partitions suggest change nothing.
+    """
     shared_folder(df.sparkSession)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
     return df.checkpoint(eager=True)
+
+
+def cut_scan(df: DataFrame, source: DataFrame, share: int = 8) -> DataFrame:
+    """As cut_lineage, for narrow rows computed while scanning the wide rows of source: they are gathered from `share` scan tasks into a file."""
+    shared_folder(df.sparkSession)
+    return df.repartition(max(1, -(-source.rdd.getNumPartitions() // share))).checkpoint(eager=True)
