@@ -56,10 +56,11 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
     items = items.select(F.struct("item_id", F.xxhash64("text").alias("x")).alias("item"), tokens(F.col("text")).alias("raw")).withColumn("form", template(F.col("raw")))
     each = items.select("item", F.posexplode(_hashes("form")).alias("p", "w"), "form")
     literal = F.size(F.filter(F.slice("form", F.col("p") + 1, WINDOW), lambda t: ~t.isin(NUMBER, NAME, UNIT)))
-    windows = cut_lineage(each.where(literal >= MIN_LITERALS).select("item", "p", "w"))
+    rows = 64 * benchmark.count()
+    windows = cut_lineage(each.where(literal >= MIN_LITERALS).select("item", "p", "w"), rows)
     slots = F.filter(F.transform("form", lambda t, i: F.when(t.isin(NUMBER, NAME, UNIT), F.struct(i.alias("p"), F.get("raw", i).alias("value")))), lambda s: s.isNotNull())
     counts = windows.groupBy("item").agg(F.count("*").alias("windows"))
-    return windows, cut_lineage(items.select("item", slots.alias("slots")).join(counts, "item"))
+    return windows, cut_lineage(items.select("item", slots.alias("slots")).join(counts, "item"), rows)
 
 
 def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:

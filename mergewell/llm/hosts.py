@@ -70,8 +70,9 @@ def host_reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     named = pages.select("page_id", host_of(F.col("url")).alias("host")).join(outcome, F.col("page_id") == F.col("doc_id"), "left")
     hosts = named.groupBy("host").agg(F.count("y").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("bad"))
     hosts = cut_lineage(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
-    domains = cut_lineage(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
-    suffixes = cut_lineage(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")))
+    known = hosts.count()
+    domains = cut_lineage(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), known)
+    suffixes = cut_lineage(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), known)
     total = suffixes.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     rate = (total["bad"] or 0.0) / total["n"] if total["n"] else 0.0
     weights = [_weight(level, rate) for level in (suffixes, domains, hosts)]

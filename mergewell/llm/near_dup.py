@@ -13,7 +13,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 
 from mergewell.llm.common import text_bytes
 from mergewell.operators.components import connected_components
-from mergewell.session import cut_lineage
+from mergewell.session import cut_lineage, cut_scan
 
 #: Fingerprints that differ in at most this many bits are linked. Two segments of 32 bits then include one that differs in at most one.
 MOST = 3
@@ -67,7 +67,7 @@ def _flips(value: Column, most: int) -> Column:
     return F.transform(literal, lambda x: F.struct(value.bitwiseXOR(x["m"]).alias("z"), x["d"].alias("d")))
 
 
-def links(distinct: DataFrame) -> DataFrame:
+def links(distinct: DataFrame, rows: int) -> DataFrame:
     """Edges (a, b) between distinct fingerprints, enough to connect every two that differ in at most three bits, none between others that are not so connected.
 
     Each fingerprint is cut into two segments, one of which differs in at most one bit between linked
@@ -81,8 +81,8 @@ def links(distinct: DataFrame) -> DataFrame:
     Whoever meets so differs in at most three bits, and everyone who does meets: the links are as exact,
     in a number proportional to the fingerprints.
     """
-    by_segment = cut_lineage(distinct.select(F.col("fp"), F.explode(F.array(*[F.struct(F.lit(s).alias("s"), _segment(F.col("fp"), s).alias("v"), _segment(F.col("fp"), 1 - s).alias("o")) for s in (0, 1)])).alias("x")).select("fp", "x.s", "x.v", "x.o"))
-    values = cut_lineage(by_segment.groupBy("s", "v").agg(F.count("*").alias("n")))
+    by_segment = cut_lineage(distinct.select(F.col("fp"), F.explode(F.array(*[F.struct(F.lit(s).alias("s"), _segment(F.col("fp"), s).alias("v"), _segment(F.col("fp"), 1 - s).alias("o")) for s in (0, 1)])).alias("x")).select("fp", "x.s", "x.v", "x.o"), 2 * rows)
+    values = cut_lineage(by_segment.groupBy("s", "v").agg(F.count("*").alias("n")), 2 * rows)
     positions = F.array(*[F.lit(i) for i in range(SEGMENT_BITS)])
     variants = values.select("s", "v", "n", F.explode(positions).alias("w")).withColumn("bit", F.lit(1).cast("long").bitwiseAND(F.expr("shiftrightunsigned(v, w)")))
     variants = variants.withColumn("key", F.col("v").bitwiseAND(F.expr("~shiftleft(1L, w)")))
@@ -90,7 +90,7 @@ def links(distinct: DataFrame) -> DataFrame:
     one = variants.where("bit = 1").select("s", "w", "key", F.col("v").alias("v1"), F.col("n").alias("n1"))
     near = zero.join(one, ["s", "w", "key"]).select("s", "v0", "v1", "n0", "n1")
     same = values.where("n > 1").select("s", F.col("v").alias("v0"), F.col("v").alias("v1"), F.col("n").alias("n0"), F.col("n").alias("n1"))
-    pairs = cut_lineage(near.unionByName(same))
+    pairs = cut_lineage(near.unionByName(same), 16 * rows)
     few = pairs.where(F.col("n0") * F.col("n1") <= STAR_FROM).select("s", "v0", "v1")
     left = few.join(by_segment.select("s", F.col("v").alias("v0"), F.col("fp").alias("a")), ["s", "v0"])
     candidates = left.join(by_segment.select("s", F.col("v").alias("v1"), F.col("fp").alias("b")), ["s", "v1"])
@@ -120,12 +120,13 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     Null and empty texts have fingerprint 0. Repeated rows are returned as often as they come. A group
     whose ids are all null has a null component. An empty table gives an empty result.
     """
-    marked = cut_lineage(fingerprints(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width).drop("text"))
-    distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    components = connected_components(links(distinct), "a", "b")
+    marked = cut_scan(fingerprints(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", width).drop("text"), documents)
+    rows = marked.count()
+    distinct = cut_lineage(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), rows)
+    components = connected_components(links(distinct, rows), "a", "b", rows=rows)
     classes = distinct.join(components, distinct["fp"] == components["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))
     smallest = classes.groupBy("c").agg(F.min("first").alias("component_id"))
-    named = cut_lineage(classes.join(smallest, "c").select("fp", "component_id"))
+    named = cut_lineage(classes.join(smallest, "c").select("fp", "component_id"), rows)
     return marked.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from mergewell.session import cut_lineage
+from mergewell.session import cut_scan
 
 LAW = "bytes"
 #: Bytes and rows that one task of the exchange should hold; a shard that has more is split into several neighbouring ranges.
@@ -130,7 +130,7 @@ def shard(documents: DataFrame, shards: int = 16, doc_id: str = "doc_id", text:
     and stay together; null ids are keys like any other. Slots follow the key order in a shard, without
     gaps. An empty table gives an empty result. grown_shard is null under this law.
     """
-    keys = cut_lineage(measured(documents, doc_id, text))
+    keys = cut_scan(measured(documents, doc_id, text), documents)
     total = keys.agg(F.sum("size").alias("size"), F.count("*").alias("n")).first()
     ranges = max(1, -(-(total["size"] or 0) // (shards * RANGE_BYTES)), -(-total["n"] // (shards * RANGE_ROWS)))
     splitters, below = find_splitters(keys, shards * ranges)

@@ -13,7 +13,7 @@ from pyspark.sql.pandas.functions import arrow_udf
 
 from mergewell.llm.common import text_bytes
 from mergewell.operators.components import connected_components
-from mergewell.session import cut_lineage
+from mergewell.session import cut_lineage, cut_scan
 
 #: Content words in a chain.
 CHAIN = 2
@@ -89,7 +89,7 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
     """
     from math import log
 
-    marked = cut_lineage(fingerprint(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text").drop("text"))
+    marked = cut_scan(fingerprint(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text").drop("text"), documents)
     classes = cut_lineage(marked.groupBy("fingerprint").agg(F.min("doc_id").alias("class_id")).where("class_id is not null").withColumn("sigs", signature_array(F.col("fingerprint"))))
     one = classes.select("class_id", F.explode("sigs").alias("sig"))
     ranked = one.join(one.groupBy("sig").agg(F.count("*").alias("df")), "sig")
