@@ -17,7 +17,7 @@ SPACE = "▁"
 #: Words of more symbols than this merge by a heap, which takes no round for each merge; the result is the same.
 LONG_WORD = 192
 #: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 class PieceModel:
@@ -299,7 +299,7 @@ def tokenise(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str
         encoder = Encoder(model)
         for batch in batches:
             done = 0
-            for part in chunks(text_bytes(batch.column(1))):
+            for part in chunks(text_bytes(batch.column(1)), 2 << 20):
                 found = encoder.encode(part)
                 columns = [
                     batch.column(0).slice(done, len(part)).cast(pa.int64()), pa.array([len(ids) for ids, _ in found], pa.int64()),

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 
 from mergewell.llm.common import logistic, probability, training_rows
 
-PER_CLASS = 2000
+PER_CLASS = 1200
 MAX_CHARS = 20_000
 #: Words in a window; windows follow one another and cover the whole text.
 WINDOW = 4
