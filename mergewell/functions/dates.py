@@ -18,12 +18,16 @@ _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2}))?"
 
 def normalize_date(raw: Column) -> Column:
     """struct(value, start, end): an ISO date or date-time, or a month's first and last day; all null where nothing valid is written."""
-    text = collapse(strip_accents(F.lower(raw)))
+    return F.get(F.transform(F.array(collapse(strip_accents(F.lower(raw)))), _parsed), F.lit(0))
+
+
+def _parsed(text: Column) -> Column:
+    """The struct for a cleaned text; bound by a lambda so that the text is computed once and the generated code stays small."""
     month_of = F.create_map(*[F.lit(x) for k, v in MONTHS.items() for x in (k, v)])
 
     def stamp(pattern: str, order: tuple[int, int, int], named: bool = False, utc: bool = False) -> Column:
         group = lambda k: F.regexp_extract(text, pattern, k)
-        number = lambda k: F.try_to_number(group(k), F.lit("9999")).cast("int")
+        number = lambda k: group(k).try_cast("int")
         y, m, d = order
         month = F.try_element_at(month_of, group(m)) if named else number(m)
         hour = F.when(group(4) != "", group(4).try_cast("int"))
@@ -46,7 +50,7 @@ def truncate_to_hour(iso: Column) -> Column:
     """Date and hour in the value's own offset; empty where it is no ISO time."""
     shape = r"^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2})(?::?\d{2}(?::?\d{2}(?:[.,]\d+)?)?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
     hour = F.regexp_extract(iso, shape, 2)
-    valid = iso.rlike(shape) & F.try_to_date(F.substring(iso, 1, 10), F.lit("yyyy-MM-dd")).isNotNull() & ((hour == "") | (hour < "24"))
+    valid = iso.rlike(shape) & F.try_to_date(F.substring(iso, 1, 10), "yyyy-MM-dd").isNotNull() & ((hour == "") | (hour < "24"))
     return F.when(valid, F.concat(F.regexp_extract(iso, shape, 1), F.lit("T"), F.when(hour == "", "00").otherwise(hour))).otherwise(F.lit(""))
 
 

@@ -34,26 +34,21 @@ def state_names() -> list[tuple[str, str]]:
     return sorted(names.items(), key=lambda x: (-len(x[0]), x[0]))
 
 
-def _holds(text: Column, name: str) -> Column:
-    return F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.lit(f" {name} "))
+def _holds(text: Column, name: Column) -> Column:
+    return F.contains(F.concat(F.lit(" "), text, F.lit(" ")), F.concat(F.lit(" "), name, F.lit(" ")))
 
 
 def find_state(matched: Column) -> Column:
-    return F.coalesce(*[F.when(_holds(matched, name), F.lit(state)) for name, state in state_names()])
+    """The state of the longest name that the text holds as whole words."""
+    names = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(state).alias("state")) for name, state in state_names()])
+    return F.get(F.filter(names, lambda n: _holds(matched, n["name"])), F.lit(0))["state"]
 
 
 def find_municipality(matched: Column, state: Column) -> Column:
     """The only municipality named, within the state where one is known; null where several fit."""
-    hits = F.array_compact(F.array(*[F.when((state.isNull() | (state == of)) & _any([_holds(matched, n) for n in (name.lower(), *more)]), F.lit(name)) for name, of, more in MUNICIPALITIES]))
-    distinct = F.array_distinct(hits)
-    return F.when(F.size(distinct) == 1, F.get(distinct, F.lit(0)))
-
-
-def _any(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
+    names = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(town).alias("town"), F.lit(of).alias("state")) for town, of, more in MUNICIPALITIES for n in (town.lower(), *more)])
+    hits = F.array_distinct(F.transform(F.filter(names, lambda n: (state.isNull() | (n["state"] == state)) & _holds(matched, n["name"])), lambda n: n["town"]))
+    return F.when(F.size(hits) == 1, F.get(hits, F.lit(0)))
 
 
 def normalize_location(location: Column, synonyms: dict[str, str] = SYNONYMS, normal_text: bool = True) -> Column:
@@ -62,13 +57,18 @@ def normalize_location(location: Column, synonyms: dict[str, str] = SYNONYMS, no
     matched = normalize_for_match(expand_abbreviations(raw))
     if synonyms:
         matched = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in synonyms.items() for x in (k, v)]), matched), matched)
-    named = find_state(matched)
-    municipality = find_municipality(matched, named)
-    of = F.create_map(*[F.lit(x) for name, state, _ in MUNICIPALITIES for x in (name, state)])
-    state = F.coalesce(named, F.try_element_at(of, municipality))
-    filled = F.when((state == "Distrito Capital") & municipality.isNull(), F.lit("Libertador")).otherwise(municipality)
+    towns = F.create_map(*[F.lit(x) for town, state, _ in MUNICIPALITIES for x in (town, state)])
     none = F.lit(None)
-    return F.struct(F.nullif(raw, F.lit("")).alias("raw"), state.alias("estado"), filled.alias("municipio"), none.cast("string").alias("parroquia"), none.cast("double").alias("lat"), none.cast("double").alias("lng"))
+
+    def with_town(found: Column) -> Column:
+        state = F.coalesce(found["state"], F.try_element_at(towns, found["town"]))
+        town = F.when((state == "Distrito Capital") & found["town"].isNull(), F.lit("Libertador")).otherwise(found["town"])
+        return F.struct(F.nullif(found["raw"], F.lit("")).alias("raw"), state.alias("estado"), town.alias("municipio"), none.cast("string").alias("parroquia"), none.cast("double").alias("lat"), none.cast("double").alias("lng"))
+
+    # Each step is bound by a lambda, so that its text is computed once.
+    seen = F.transform(F.array(F.struct(raw.alias("raw"), matched.alias("m"))), lambda x: F.struct(x["raw"].alias("raw"), x["m"].alias("m"), find_state(x["m"]).alias("state")))
+    placed = F.transform(seen, lambda x: F.struct(x["raw"].alias("raw"), x["state"].alias("state"), find_municipality(x["m"], x["state"]).alias("town")))
+    return F.get(F.transform(placed, with_town), F.lit(0))
 
 
 def location_label(place: Column) -> Column:

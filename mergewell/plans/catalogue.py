@@ -1,13 +1,31 @@
-"""All queries of the record operators, with their SQL."""
+"""All queries of the record operators on the given tables, each with its SQL where SQL can express it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mergewell.functions import dates, location, pii, scores, text
+from mergewell.operators import candidates, components, consolidate, gold, keys, records
+from mergewell.sources import pages
+from mergewell.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+SECRET = "fixture-secret-not-for-production"
+EVENT_ID = "11111111-1111-4111-8111-111111111111"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,3 +34,454 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+MATCH_SQL = "trim(regexp_replace(strip_accents(lower(coalesce({}, ''))), '[^a-z0-9]+', ' ', 'g'))"
+SPACES_SQL = r"trim(regexp_replace(coalesce({}, ''), '\s+', ' ', 'g'))"
+
+
+# Scalar functions.
+
+
+@query(f"select doc_id, {MATCH_SQL.format('text')} as matched from documents")
+def normalize_for_match(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", text.normalize_for_match(F.col("text")).alias("matched"))
+
+
+@query(f"select doc_id, sha256({SPACES_SQL.format('text')}) as text_sha256 from documents")
+def normalize_text(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize_text(F.col("text")), 256).alias("text_sha256"))
+
+
+@query(f"select doc_id, sha256({SPACES_SQL.format('nfc_normalize(text)')}) as text_sha256 from documents")
+def normalize_unicode(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize_unicode(F.col("text")), 256).alias("text_sha256"))
+
+
+ABBREVIATED = "'Edo. ' || s_name || ', Av  Mun. ' || n_name || ' (C/C)'"
+
+
+@query(f"select s_suppkey, replace(replace(replace(replace(replace({ABBREVIATED}, 'Edo.', 'Estado'), 'Av  ', 'Avenida '), 'Mun.', 'Municipio'), 'C/C', 'Centro Comercial'), '  ', ' ') as expanded from supplier join nation on s_nationkey = n_nationkey")
+def expand_abbreviations(spark, sf_dir):
+    joined = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return joined.select("s_suppkey", text.expand_abbreviations(F.expr(ABBREVIATED)).alias("expanded"))
+
+
+@query("select p_partkey, array_to_string(list_transform(string_split(p_name || ' de la CRUZ', ' '), lambda w, i: case when i > 1 and lower(w) in ('de', 'del', 'la', 'las', 'los', 'y', 'e') then lower(w) else upper(lower(w)[1]) || lower(w)[2:] end), ' ') as proper from part")
+def normalize_proper_name(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.normalize_proper_name(F.concat("p_name", F.lit(" de la CRUZ"))).alias("proper"))
+
+
+@query("select p_partkey, lower(p_name) as person, array_to_string(list_sort(string_split(lower(p_name), ' ')), ' ') as name_key from part")
+def person_names(spark, sf_dir):
+    named = F.concat(F.lit("Sr. "), F.upper("p_name"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.normalize_person_name(named).alias("person"), text.name_key(named).alias("name_key"))
+
+
+_RUNS_SQL = "array_to_string(list_transform(list_filter(range(1, length(k) + 1), lambda i: i = 1 or k[i] <> k[i - 1]), lambda i: k[i]), '')"
+
+
+def _key_sql(name: str) -> str:
+    out = f"strip_accents(replace(lower(trim({name})), 'ñ', 'ni'))"
+    for old, new in (("ll", "y"), ("ch", "x"), ("rr", "r"), ("h", ""), ("b", "v"), ("z", "s"), ("c", "s"), ("g", "j")):
+        out = f"replace({out}, '{old}', '{new}')"
+    return out
+
+
+@query(f"select p_partkey, phonetic, sha256(phonetic || '|' || p_brand)[1:16] as deterministic_id from (select p_partkey, p_brand, {_RUNS_SQL} as phonetic from (select p_partkey, p_brand, {_key_sql('p_name')} as k from part))")
+def spanish_phonetic_key(spark, sf_dir):
+    keyed = table(spark, sf_dir, "part").withColumn("phonetic", text.spanish_phonetic_key(F.col("p_name")))
+    return keyed.select("p_partkey", "phonetic", text.deterministic_id(F.col("phonetic"), F.col("p_brand")).alias("deterministic_id"))
+
+
+@query()
+def phonetic_hash(spark, sf_dir):
+    return table(spark, sf_dir, "part").select("p_partkey", text.phonetic_hash(F.col("p_name")).alias("phonetic"))
+
+
+def _hmac_sql(message: str) -> str:
+    key = SECRET.encode().ljust(64, b"\0")
+    pad = lambda x: "".join(f"\\x{b ^ x:02X}" for b in key)
+    return f"sha256('{pad(0x5C)}'::blob || unhex(sha256('{pad(0x36)}'::blob || encode({message}))))"
+
+
+@query(f"select c_custkey, {_hmac_sql(chr(39) + 'v' + chr(39) + ' || lpad(c_custkey::varchar, 8, ' + chr(39) + '0' + chr(39) + ')')} as token, '****' || right(lpad(c_custkey::varchar, 8, '0'), 4) as masked, lpad(c_custkey::varchar, 8, '0') as digits from customer")
+def identity_tokens(spark, sf_dir):
+    shown = F.concat(F.lit("V-"), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
+    return table(spark, sf_dir, "customer").select("c_custkey", text.identity_token(shown, SECRET).alias("token"), text.mask_last4(shown).alias("masked"), text.digits_only(shown).alias("digits"))
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%d') as dmy, strftime(ts, '%Y-%m-%dT%H:%M:00') as timed, strftime(date_trunc('month', ts), '%Y-%m-%d') as month_start, strftime(last_day(ts), '%Y-%m-%d') as month_end, null::varchar as bad from events")
+def normalize_date(spark, sf_dir):
+    ts = F.col("ts")
+    made = table(spark, sf_dir, "events").select(
+        "event_id", dates.normalize_date(F.date_format(ts, "d/M/yyyy"))["value"].alias("dmy"), dates.normalize_date(F.date_format(ts, "yyyy-MM-dd HH:mm"))["value"].alias("timed"),
+        dates.normalize_date(F.date_format(ts, "M/yyyy")).alias("month"), dates.normalize_date(F.concat(F.lit("31 de febrero de "), F.date_format(ts, "yyyy")))["value"].alias("bad"),
+    )
+    return made.select("event_id", "dmy", "timed", F.col("month.start").cast("string").alias("month_start"), F.col("month.end").cast("string").alias("month_end"), "bad")
+
+
+@query("select event_id, strftime(ts, '%Y-%m-%dT%H') as hour, strftime(ts - interval 5 minute, '%Y-%m-%d %H:%M:%S') as margin from events")
+def truncate_to_hour(spark, sf_dir):
+    stamp = F.col("ts").cast("timestamp")
+    return table(spark, sf_dir, "events").select("event_id", dates.truncate_to_hour(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")).alias("hour"), F.date_format(dates.with_safety_margin(stamp), "yyyy-MM-dd HH:mm:ss").alias("margin"))
+
+
+PLACES = ("Petare, Edo. Miranda", "Caracas", "Maracaibo, Estado Zulia", "Mun. Iribarren", "guaira", "Sucre", "nowhere")
+
+
+def _place(key: Column) -> Column:
+    return F.get(F.array(*[F.lit(p) for p in PLACES]), (key % len(PLACES)).cast("int"))
+
+
+@query("select s_suppkey, ['Miranda', 'Distrito Capital', 'Zulia', 'Lara', 'La Guaira', 'Sucre', null][s_suppkey % 7 + 1] as estado, ['Sucre', 'Libertador', 'Maracaibo', 'Iribarren', null, null, null][s_suppkey % 7 + 1] as municipio, ['Sucre, Miranda', 'Libertador, Distrito Capital', 'Maracaibo, Zulia', 'Iribarren, Lara', 'La Guaira', 'Sucre', 'nowhere'][s_suppkey % 7 + 1] as label from supplier")
+def normalize_location(spark, sf_dir):
+    placed = table(spark, sf_dir, "supplier").withColumn("l", location.normalize_location(_place(F.col("s_suppkey")), normal_text=False))
+    return placed.select("s_suppkey", "l.estado", "l.municipio", location.location_label(F.col("l")).alias("label"))
+
+
+@query("""select p_partkey, 'x' as city, lower(p_type) as state, round(jaro_winkler_similarity(lower(p_name), lower(p_brand || ' ' || p_type)), 6) as similarity from part""")
+def name_similarity(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    place = location.city_and_state(F.concat(F.lit("X, "), F.col("p_type")))
+    both = part.select("p_partkey", place.alias("p"), F.lower("p_name").alias("a"), F.lower(F.concat_ws(" ", "p_brand", "p_type")).alias("b"))
+    return both.select("p_partkey", "p.city", "p.state", F.round(scores.jaro_winkler_udf("a", "b"), 6).alias("similarity"))
+
+
+TIER = "['A', 'B', 'C', 'D', 'x'][n_regionkey + 1]"
+
+
+@query(f"select s_suppkey, round(least(1.0, 0.25 + 0.25 + case when s_acctbal > 0 then 0.2 else 0 end + case {TIER} when 'A' then 0.2 when 'B' then 0.15 when 'C' then 0.1 else 0.05 end), 3) as confidence, case {TIER} when 'A' then 1 when 'B' then 2 when 'C' then 3 when 'D' then 4 else 5 end as tier_rank, case {TIER} when 'A' then 4 when 'B' then 3 when 'C' then 2 else 1 end as trust_rank, case {TIER} when 'A' then 0.9 when 'B' then 0.75 when 'C' then 0.6 when 'D' then 0.35 else 0.1 end as tier_confidence from supplier join nation on s_nationkey = n_nationkey")
+def confidence_scores(spark, sf_dir):
+    joined = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    centers = joined.select("s_suppkey", F.col("s_name").alias("name"), F.col("n_name").alias("location_text"), F.when(F.col("s_acctbal") > 0, F.col("s_acctbal")).alias("coordinates"), F.lit("").alias("needs"), F.get(F.array(*[F.lit(t) for t in "ABCDx"]), F.col("n_regionkey")).alias("trust_tier"))
+    scored = records.score_entity(centers, "AcopioCenter")
+    t = F.col("trust_tier")
+    return scored.select("s_suppkey", F.col("confidence_score").alias("confidence"), scores.tier_rank(t).alias("tier_rank"), scores.trust_rank(t).alias("trust_rank"), scores.confidence_from_tier(t).alias("tier_confidence"))
+
+
+@query("select c_custkey, case when age between 0 and 130 then age end as age_min, case when age between 0 and 130 then age < 18 end as minor from (select c_custkey, (c_custkey % 160)::int as age from customer)")
+def age_ranges(spark, sf_dir):
+    ages = table(spark, sf_dir, "customer").withColumn("a", scores.age_range((F.col("c_custkey") % 160).cast("string")))
+    return ages.select("c_custkey", F.col("a.min").alias("age_min"), scores.is_minor(F.col("a")).alias("minor"))
+
+
+# Personal data.
+
+
+@query(r"select doc_id, len(regexp_extract_all(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b')) as emails, len(regexp_extract_all(text, '(?i)\b(?:menor|adolescente|infante)\b')) as minors from documents")
+def pii_counts(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents")
+    minors = F.regexp_count("text", F.lit(r"(?iuU)\b(?:menor|adolescente|infante)\b"))
+    return rows.select("doc_id", pii.pii_count(F.col("text"), "email").alias("emails"), minors.alias("minors"))
+
+
+@query()
+def detect_pii(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").where(pii.has_pii(F.col("text"))).select("doc_id", F.explode(pii.detect_pii("text")).alias("f"))
+    return found.select("doc_id", "f.kind", "f.start", "f.end")
+
+
+@query()
+def redact_pii(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(pii.redact_pii(F.col("text"), SECRET), 256).alias("redacted_sha256"))
+
+
+@query(r"select doc_id, regexp_matches(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b') as quarantined from documents")
+def unmapped_gate(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.struct(F.regexp_replace(F.regexp_extract("text", "(?iuU)" + pii.PATTERNS["email"], 0), r"\.\.+", ".").alias("extra")).alias("unmapped"))
+    clean, dirty = records.gate_unmapped(rows)
+    return clean.select("doc_id", F.lit(False).alias("quarantined")).unionByName(dirty.select("doc_id", F.lit(True).alias("quarantined")))
+
+
+@query()
+def quarantine(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").where(pii.has_pii(F.col("text"))).select(F.col("source").alias("source_slug"), "text")
+    made = records.quarantine_rows(rows, "text", "pii_untreatable", "high", secret=SECRET)
+    return made.withColumn("pii_findings_summary", F.to_json("pii_findings_summary"))
+
+
+# Fingerprints and exact consolidation.
+
+
+@query(rf"select event_id, sha256({MATCH_SQL.format('event_type')} || '|' || {MATCH_SQL.format(chr(39) + 'user ' + chr(39) + ' || user_id')} || '|' || strftime(ts, '%Y-%m-%dT%H')) as fingerprint from events")
+def event_fingerprint(spark, sf_dir):
+    iso = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
+    return table(spark, sf_dir, "events").select("event_id", keys.event_fingerprint(F.col("event_type"), F.concat(F.lit("user "), F.col("user_id")), iso).alias("fingerprint"))
+
+
+@query(f"select s_suppkey, sha256('{EVENT_ID.replace('-', ' ')}' || '|' || {MATCH_SQL.format('s_name')} || '|' || {MATCH_SQL.format('n_name')}) as fingerprint from supplier join nation on s_nationkey = n_nationkey")
+def center_fingerprint(spark, sf_dir):
+    joined = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    return joined.select("s_suppkey", keys.center_fingerprint(F.lit(EVENT_ID), F.col("s_name"), F.col("n_name")).alias("fingerprint"))
+
+
+def event_records(spark, sf_dir) -> DataFrame:
+    ts = F.date_trunc("second", F.col("ts").cast("timestamp"))
+    return table(spark, sf_dir, "events").select(
+        F.lpad(F.col("event_id").cast("string"), 12, "0").alias("id"), F.concat_ws("|", "event_type", F.col("user_id").cast("string"), F.date_format("ts", "yyyy-MM-dd")).alias("dedup_hash"),
+        F.get(F.array(*[F.lit(t) for t in "ABCD"]), (F.col("user_id") % 4).cast("int")).alias("trust_tier"), F.date_format(ts, "yyyy-MM-dd HH:mm:ss").alias("fetched_at"),
+        F.col("value").alias("confidence_score"), ts.alias("created_at"), F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")).alias("source_id"), "event_type",
+    )
+
+
+EVENT_RECORDS_SQL = "select lpad(event_id::varchar, 12, '0') as id, event_type || '|' || user_id || '|' || strftime(ts, '%Y-%m-%d') as dedup_hash, ['A','B','C','D'][user_id % 4 + 1] as trust_tier, strftime(ts, '%Y-%m-%d %H:%M:%S') as fetched_at, value as confidence_score, date_trunc('second', ts) as created_at, 's' || (event_id % 3) as source_id, event_type from events"
+
+
+@query(f"select dedup_hash, id as winner_id, group_size from (select *, count(*) over (partition by dedup_hash) as group_size, row_number() over (partition by dedup_hash order by trust_tier, fetched_at desc, confidence_score desc, created_at, source_id, id) as n from ({EVENT_RECORDS_SQL})) where n = 1")
+def pick_winner(spark, sf_dir):
+    return consolidate.pick_winners(event_records(spark, sf_dir)).select("dedup_hash", F.col("id").alias("winner_id"), "group_size")
+
+
+@query(f"select dedup_hash, 1 as dedup_version, id as winner_id, event_type from (select *, row_number() over (partition by dedup_hash order by trust_tier, fetched_at desc, confidence_score desc, created_at, source_id, id) as n from ({EVENT_RECORDS_SQL})) where n = 1")
+def canonical_records(spark, sf_dir):
+    return consolidate.canonical_records(consolidate.pick_winners(event_records(spark, sf_dir)), "Event")
+
+
+@query("select h as fingerprint, arg_max(doc_id, (tier, -doc_id)) as doc_id, min(doc_id) as first_pos from (select sha256(text) as h, doc_id, case when quality = 1 then 4 else 1 end as tier from documents left join labels using (doc_id)) group by h")
+def deduplicate_typed(spark, sf_dir):
+    joined = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    entities = joined.select(F.sha2("text", 256).alias("fingerprint"), "doc_id", F.when(F.col("quality") == 1, "A").otherwise("D").alias("trust_tier"), F.col("doc_id").alias("pos"))
+    return consolidate.deduplicate_typed(entities).select("fingerprint", "doc_id", "first_pos")
+
+
+@query("select min(doc_id) as doc_id from documents where sha256(text) not in (select sha256(text) from documents where doc_id < 100) group by text")
+def first_seen(spark, sf_dir):
+    items = table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("fingerprint"), F.col("doc_id").alias("pos"))
+    return consolidate.first_seen(items, items.where("doc_id < 100")).select("doc_id")
+
+
+@query("select o_orderkey, case when o_orderkey % 2 = 0 then 'new' else o_orderstatus end as status from orders union all select 10000000 + o_orderkey, 'new' from orders where o_orderkey % 5 = 0")
+def staging_upsert(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    new = orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("new").alias("status")).unionByName(orders.where("o_orderkey % 5 = 0").select((F.col("o_orderkey") + 10000000).alias("o_orderkey"), F.lit("new").alias("status")))
+    return consolidate.upsert(orders, new, ["o_orderkey"])
+
+
+@query("select distinct o_custkey from orders where o_custkey not in (select c_custkey from customer where c_custkey % 3 = 0)")
+def insert_ignore(spark, sf_dir):
+    current = table(spark, sf_dir, "customer").where("c_custkey % 3 = 0").select(F.col("c_custkey").alias("o_custkey"))
+    return consolidate.insert_ignore(current, table(spark, sf_dir, "orders").select("o_custkey"), ["o_custkey"])
+
+
+@query("select event_id as id from events where (ts, event_id) > (timestamp '2024-01-05 00:00:00', 100) order by ts, event_id limit 500")
+def keyset_page(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("created_at"), F.col("event_id").alias("id"))
+    return consolidate.keyset_page(rows, 500, ("2024-01-05 00:00:00", 100)).select("id")
+
+
+@query("select doc_id from (select doc_id, row_number() over (partition by source order by doc_id) as n from documents) where n <= 10")
+def limit_per_source(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return consolidate.limit_per_source(rows, 10, "source", ("doc_id",)).select("doc_id")
+
+
+@query("select c_custkey as id, 'p' as origin from customer where c_custkey % 2 = 0 union all select c_custkey, 'e' from customer where c_custkey % 3 = 0 and c_custkey % 2 <> 0")
+def union_by_id(spark, sf_dir):
+    c = table(spark, sf_dir, "customer")
+    pick = lambda n, o: c.where(F.col("c_custkey") % n == 0).select(F.col("c_custkey").alias("id"), F.lit(o).alias("origin"))
+    return consolidate.union_by_id(pick(2, "p"), pick(3, "e"))
+
+
+@query("select json_keys(props)[1] as signature, count(*) as rows from events group by 1")
+def key_signatures(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.from_json("props", "map<string,string>").alias("m"))
+    return consolidate.group_by_signature(rows, "m")
+
+
+@query("select s_suppkey, sha256('acopiocenter|src|' || s_suppkey) as external_id, sha256('{\"name\":\"' || s_name || '\",\"nota\":null}') as content_hash from supplier")
+def staging_rows(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("name"), F.lit(None).cast("string").alias("nota"), F.lit("x").alias("_meta"))
+    made = records.staging_rows(rows.withColumn("key", F.col("s_suppkey")), "AcopioCenter", F.lit("src"), "key", ["name", "nota", "_meta"])
+    return made.withColumn("s_suppkey", F.get_json_object("raw_json", "$.name").substr(10, 9).cast("long")).select("s_suppkey", "external_id", "content_hash")
+
+
+# Blocks, pairs, edges, clusters.
+
+
+def persons(spark, sf_dir) -> DataFrame:
+    """Parts as persons: brand and size are the identifier of every third, type the state, size the age."""
+    p = table(spark, sf_dir, "part")
+    made = p.select(
+        F.lpad(F.col("p_partkey").cast("string"), 9, "0").alias("id"), F.col("p_name").alias("full_name"), F.lit("ev").alias("event_id"),
+        F.when(F.col("p_partkey") % 3 == 0, F.sha2(F.concat_ws("|", "p_brand", "p_size"), 256)).alias("cedula_hmac"),
+        F.when(F.col("p_partkey") % 3 == 1, "partial").otherwise("none").alias("identity_kind"), F.when(F.col("p_partkey") % 3 == 1, F.lpad(F.col("p_size").cast("string"), 4, "0")).alias("cedula_partial"),
+        F.when(F.col("p_partkey") % 3 == 1, "suffix_4").alias("cedula_partial_pattern"), F.concat(F.lit("C, "), F.col("p_type")).alias("last_known_location"),
+        F.struct(F.col("p_size").alias("min"), (F.col("p_size") + 10).alias("max")).alias("age_range"), F.lit("missing").alias("status"),
+    )
+    key = keys.person_block_keys(F.col("event_id"), F.col("full_name"), F.col("cedula_hmac"), F.col("identity_kind"), F.col("cedula_partial"), F.col("cedula_partial_pattern"), text.spanish_phonetic_key(F.col("full_name")))
+    return made.withColumn("block_keys", key)
+
+
+PERSONS_SQL = f"""p as (select lpad(p_partkey::varchar, 9, '0') as id, lower(p_name) as name, p_partkey % 3 as kind, sha256(p_brand || '|' || p_size) as hmac, lpad(p_size::varchar, 4, '0') as digits, p_type, p_size, {_RUNS_SQL} as ph
+  from (select *, {_key_sql('p_name')} as k from part)),
+m as (select id, 'phon:ev:' || ph as block_key from p union all select id, 'ced:ev:' || hmac from p where kind = 0 union all select id, 'ced_partial:ev:suffix_4:' || digits from p where kind = 1)"""
+EDGES_SQL = f"""with {PERSONS_SQL},
+pairs as (select a.id as left_id, b.id as right_id, block_key as blocking_key from m a join m b using (block_key) where a.id < b.id),
+s as (select pairs.*, a.kind = 0 and b.kind = 0 and a.hmac <> b.hmac as veto,
+  0.4 * jaro_winkler_similarity(a.name, b.name) + 0.3 * (case when a.kind = 0 and b.kind = 0 and a.hmac = b.hmac then 1.0 when a.kind = 1 and b.kind = 1 and a.digits = b.digits then 0.5 else 0 end)
+  + case when a.p_type = b.p_type then 0.15 else 0 end + 0.05
+  + 0.1 * case when abs(a.p_size - b.p_size) < 10 then (10 - abs(a.p_size - b.p_size)) / (10 + abs(a.p_size - b.p_size)) else 0 end as score
+  from pairs join p a on a.id = left_id join p b on b.id = right_id)
+"""
+
+
+@query(f"with {PERSONS_SQL} select block_key, count(*) as members, (count(*) * (count(*) - 1) // 2)::bigint as pairs from m group by block_key")
+def block_stats(spark, sf_dir):
+    return candidates.block_stats(candidates.blocks(persons(spark, sf_dir)))
+
+
+@query(EDGES_SQL + "select left_id, right_id, blocking_key, round(score, 3) as score, case when round(score, 4) >= 0.95 then 2 else 1 end as priority from s where not veto and round(score, 4) >= 0.85")
+def candidate_edges(spark, sf_dir):
+    found = candidates.find_candidates(persons(spark, sf_dir))
+    return found.select("left_id", "right_id", "blocking_key", F.round("score", 3).alias("score"), "priority")
+
+
+@query(f"with {PERSONS_SQL} select distinct id from m where right(id, 1) <> '0' and block_key in (select block_key from m where right(id, 1) = '0')")
+def block_partners(spark, sf_dir):
+    people = persons(spark, sf_dir)
+    new, old = people.where("right(id, 1) = '0'"), people.where("right(id, 1) <> '0'")
+    return candidates.partners(candidates.blocks(new), old).select("id")
+
+
+@query(EDGES_SQL + "select left_id, right_id, case when left_id[9] = '3' then 'rejected' else 'pending' end as decision from s where not veto and round(score, 4) >= 0.85")
+def merge_edges(spark, sf_dir):
+    found = candidates.find_candidates(persons(spark, sf_dir))
+    old = found.where("right(left_id, 1) = '3'").select(F.col("right_id").alias("left_id"), F.col("left_id").alias("right_id"), "blocking_key", F.lit(0.5).alias("score"), "reasons", F.lit(1).alias("priority"), F.lit("rejected").alias("decision"))
+    merged = candidates.merge_candidates(old, found)
+    return merged.select(F.least("left_id", "right_id").alias("left_id"), F.greatest("left_id", "right_id").alias("right_id"), "decision")
+
+
+@query("select n_nationkey as node, min(n_nationkey) over (partition by n_regionkey) as component from nation")
+def connected_components(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    ordered = n.select("n_nationkey", F.expr("lead(n_nationkey) over (partition by n_regionkey order by n_nationkey)").alias("next")).where("next is not null")
+    return components.connected_components(ordered, "n_nationkey", "next")
+
+
+def _clusters(spark, sf_dir) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    people = persons(spark, sf_dir)
+    found = candidates.find_candidates(people).withColumn("decision", F.lit("pending"))
+    rows = people.select("id", F.lit("A").alias("trust_tier"), F.lit(None).cast("string").alias("fetched_at"), F.lit(0.5).alias("confidence_score"), F.lit("2024-01-01").alias("created_at"), F.lit("s").alias("source_id"))
+    return (rows, *gold.gold_tables(rows, gold.clusters(found)))
+
+
+@query(EDGES_SQL + """, e as (select left_id as a, right_id as b from s where not veto and round(score, 4) >= 0.85 and blocking_key like 'ced:%'),
+r as (with recursive x(a, b) as (select a, b from (select a, b from e union select b, a from e union select a, a from e union select b, b from e) union select x.a, y.b from x join (select a, b from e union select b, a from e) y on x.b = y.a) select a, min(b) as c from x group by a)
+select c as gold_id, min(a) as winner_id, count(*) as members from r group by c""")
+def gold_entities(spark, sf_dir):
+    return _clusters(spark, sf_dir)[1]
+
+
+@query(EDGES_SQL + """, e as (select left_id as a, right_id as b from s where not veto and round(score, 4) >= 0.85 and blocking_key like 'ced:%'),
+r as (with recursive x(a, b) as (select a, b from (select a, b from e union select b, a from e union select a, a from e union select b, b from e) union select x.a, y.b from x join (select a, b from e union select b, a from e) y on x.b = y.a) select a, min(b) as c from x group by a)
+select p.id, r.c as gold_id from p left join r on p.id = r.a where r.c is null or r.c = p.id""")
+def published(spark, sf_dir):
+    rows, entities, members, _ = _clusters(spark, sf_dir)
+    return gold.published(rows, entities, members).select("id", "gold_id")
+
+
+# Rules, minors, projection.
+
+
+@query("select c_custkey, foto, masked, place, place_status from (select c_custkey, case when minor then null else 'f' end as foto, case when minor then null else '****1234' end as masked, case when not minor then p when p like '%,%,%' then null when p like '%,%' then trim(split_part(p, ',', 2)) else p end as place, case when not minor then null when p like '%,%' then 'removed_minor' else 'present' end as place_status from (select c_custkey, c_custkey % 2 = 0 as minor, ['Chacao, Miranda', 'Zulia', 'a, b, c'][c_custkey % 3 + 1] as p from customer))")
+def protect_minors(spark, sf_dir):
+    place = F.get(F.array(F.lit("Chacao, Miranda"), F.lit("Zulia"), F.lit("a, b, c")), (F.col("c_custkey") % 3).cast("int"))
+    none = F.lit(None).cast("string")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", (F.col("c_custkey") % 2 == 0).alias("is_minor"), F.lit("f").alias("foto"), none.alias("foto_status"), F.lit("****1234").alias("cedula_masked"), place.alias("last_known_location"), none.alias("last_known_location_status"))
+    return records.protect_minors(rows).select("c_custkey", "foto", F.col("cedula_masked").alias("masked"), F.col("last_known_location").alias("place"), F.col("last_known_location_status").alias("place_status"))
+
+
+@query("select s_suppkey, case when s_suppkey % 4 = 0 then 'coordinates' when s_suppkey % 4 = 1 then 'status' when s_suppkey % 4 = 2 then 'name' else '' end as broken from supplier")
+def validate_centers(spark, sf_dir):
+    k = F.col("s_suppkey") % 4
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(k == 2, " ").otherwise(F.col("s_name")).alias("name"), F.lit("x").alias("location_text"), F.lit("f").alias("fuente"), F.lit(EVENT_ID).alias("event_id"), F.when(k == 1, "odd").otherwise("active").alias("status"), F.lit("a").alias("trust_tier"), F.struct(F.when(k == 0, 91.0).otherwise(10.0).alias("lat"), F.lit(-66.0).alias("lon")).alias("coordinates"))
+    return rows.select("s_suppkey", F.array_join(records.broken_center_rules(), ",").alias("broken"))
+
+
+@query("select c_custkey as id, case when c_custkey % 5 = 0 then 'E0' else 'E1' end as event_id, c_name as full_name, case when c_custkey % 3 < 2 then 'missing' else 'deceased' end as status from customer")
+def materialize(spark, sf_dir):
+    k = F.col("c_custkey")
+    raw = F.to_json(F.struct(F.col("c_name").alias("full_name"), F.when(k % 5 == 0, F.lit("")).otherwise(F.lit("E1")).alias("event_id"), F.get(F.array(F.lit("found"), F.lit("missing"), F.lit("deceased")), (k % 3).cast("int")).alias("status"), F.lit("x").alias("_meta")))
+    rows = table(spark, sf_dir, "customer").select(k.alias("id"), raw.alias("raw_json"))
+    return records.project(rows, records.PERSON_FIELDS, "struct<full_name:string,event_id:string,status:string>", "E0")
+
+
+@query("select event_id, case when ts < timestamp '2024-01-10 00:00:00' - interval 12 hour then null else event_type end as raw_text, case when ts < timestamp '2024-01-10 00:00:00' - interval 12 hour then 'purged' else 'raw' end as pii_status from events")
+def retention(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("fetched_at"), F.col("event_type").alias("raw_text"), F.lit("raw").alias("pii_status"))
+    return records.purge_raw_text(rows, F.lit("2024-01-10 00:00:00").cast("timestamp")).drop("fetched_at")
+
+
+@query(r"select page_id, lower(regexp_extract(url, '://([^/:?#]*)', 1)) like '%.example.com' and split_part(lower(regexp_extract(url, '://([^/:?#]*)', 1)), '.', 1) = 'www' as allowed from pages")
+def allowed_domains(spark, sf_dir):
+    host = F.lower(F.try_parse_url("url", F.lit("HOST")))
+    hosts = [r["h"] for r in table(spark, sf_dir, "pages").select(host.alias("h")).where("h like 'www.%.example.com'").distinct().limit(10_000).collect()]
+    return table(spark, sf_dir, "pages").select("page_id", (records.allowed_host(F.col("url"), hosts) if hosts else F.lit(False)).alias("allowed"))
+
+
+# Sources.
+
+
+@query()
+def html_text(spark, sf_dir):
+    return pages.html_pages(table(spark, sf_dir, "pages")).select("page_id", "html_title", F.sha2("body_text", 256).alias("text_sha256"))
+
+
+@query("select event_id, 'k: ' || json_extract_string(props, '$.k') as lines from events")
+def json_lines(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", pages.json_lines("props").alias("lines"))
+
+
+@query("select c_custkey, ['missing', 'deceased', 'missing', null][c_custkey % 4 + 1] as status, case c_custkey % 4 when 0 then 'Ana Lopez' when 1 then 'Luis Mora' end as full_name from customer")
+def parse_posts(spark, sf_dir):
+    said = F.get(F.array(F.lit("Se busca a Ana Lopez tras el sismo"), F.lit("Luis Mora fallecido."), F.lit("Nadie ha sido localizado."), F.lit("hola")), (F.col("c_custkey") % 4).cast("int"))
+    return pages.posts(table(spark, sf_dir, "customer").select("c_custkey", said.alias("text"))).select("c_custkey", "status", "full_name")
+
+
+@query("select page_id, i as page, 2 as total_pages, 't' || i as title, 't' || i || ' page ' || page_id || ' http://x.invalid/' || i as text from pages, (values (1), (2)) v(i)")
+def feed_items(spark, sf_dir):
+    item = lambda i: F.concat(F.lit(f"<item><title>t{i}</title><description>page "), F.col("page_id").cast("string"), F.lit(f"</description><link>http://x.invalid/{i}</link></item>"))
+    feeds = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("<rss><channel>"), item(1), item(2), F.lit("</channel></rss>")).alias("body"))
+    return pages.feed_items(feeds, key="page_id")
+
+
+@query("select c_custkey::varchar as source_record_id, c_name as full_name, '****' || right(lpad(c_custkey::varchar, 9, '0'), 4) as cedula_masked, (c_custkey % 100)::int as age, 'missing' as status, '[id:' || c_custkey || '] d' as nota from customer where c_custkey % 7 <> 0")
+def parse_api_pages(spark, sf_dir):
+    k = F.col("c_custkey")
+    item = F.struct(k.cast("string").alias("id"), F.when(k % 7 == 0, "").otherwise(F.col("c_name")).alias("nombre"), F.regexp_extract("c_name", r"(\d+)", 1).alias("cedula"), (k % 100).cast("string").alias("edad"), F.lit("Encontrada").alias("estado"), F.lit(" d ").alias("descripcion"))
+    bodies = table(spark, sf_dir, "customer").groupBy((k % 64).alias("page")).agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("raw_content"))
+    good, _ = pages.api_persons(bodies)
+    return good.select("source_record_id", "full_name", "cedula_masked", F.col("age_range.min").alias("age"), "status", "nota")
+
+
+# Incremental.
+
+
+@query("select 's' || s as source_id, case when s = 1 then timestamp '1970-01-01' else strftime(max(ts) - interval 5 minute, '%Y-%m-%d %H:%M:%S')::timestamp end as watermark_at from (select event_id % 3 as s, date_trunc('second', ts) as ts from events) group by s")
+def watermarks(spark, sf_dir):
+    runs = table(spark, sf_dir, "events").select(F.concat(F.lit("s"), (F.col("event_id") % 3).cast("string")).alias("source_id"), F.date_trunc("second", F.col("ts").cast("timestamp")).alias("fetched_at"), F.lit(1).alias("sent"), F.when(F.col("event_id") % 3 == 1, 1).otherwise(0).alias("errors"))
+    none = spark.createDataFrame([], "source_id string, watermark_at timestamp")
+    return incremental.advance_watermarks(none, runs).withColumn("watermark_at", F.col("watermark_at").cast("timestamp_ntz"))
+
+
+@query("select event_id from events where (ts, event_id) > (select max((ts, event_id)) from events where event_id < 1000)")
+def delta_after_cursor(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.lit("e").alias("entity_type"), F.col("ts").cast("timestamp").alias("created_at"), F.col("event_id").alias("id"))
+    return incremental.delta_after(rows, incremental.cursor_after(rows.where("id < 1000"))).select(F.col("id").alias("event_id"))
+
+
+@query("select strftime(time_bucket(interval 1 hour, ts), '%Y-%m-%d %H') as hour, event_type, count(*) as n from events group by all")
+def hourly_events(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumn("hour", F.date_format("ts", "yyyy-MM-dd HH"))
+    return rows.groupBy("hour", "event_type").agg(F.count("*").alias("n"))
+
+
+@query("select event_type as note, count(*) as n from events group by 1 order by n desc, note limit 5")
+def top_notes(spark, sf_dir):
+    """A report of the five commonest notices: the limit is the feature."""
+    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("note")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "note").limit(5)
