@@ -17,7 +17,7 @@ SPACE = "▁"
 #: Words of more symbols than this merge by a heap, which takes no round for each merge; the result is the same.
 LONG_WORD = 192
 #: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 
 
 class PieceModel:
