@@ -14,7 +14,7 @@ from mergewell.llm.common import logistic, probability, training_rows
 PER_CLASS = 1200
 MAX_CHARS = 20_000
 #: Words in a window; windows follow one another and cover the whole text.
-WINDOW = 4
+WINDOW = 3
 TOXIC_BYTES, ORDINARY_BYTES = 2048, 1024
 #: Stands before each window and at the end of both dictionaries, so that every window compresses and a match of any length shows.
 HEADER = b"\n" * 32
@@ -27,6 +27,8 @@ LONG_WORD = 256
 SEGMENT = 32
 DEVIATIONS, RATIO = 3.5, 4.0
 SHORTEST_STEM = 4
+#: Bytes saved from which a window counts; what the counts mean is calibrated.
+THRESHOLDS = (1, 2, 3, 4, 5, 6)
 
 
 def windows(text: bytes) -> Iterator[bytes]:
@@ -143,14 +145,16 @@ class ToxicityModel:
             self._pair = tuple(pair)
         return self._pair
 
-    def _features(self, text: bytes) -> tuple[float, float, float, float]:
+    def _features(self, text: bytes) -> tuple[float, ...]:
+        """The largest savings, their mean, the share of windows from each threshold on, and how many windows there are."""
         toxic, ordinary = self._compressors()
         saved = np.array([len(ordinary.compress(HEADER + w + TRAILER)) - len(toxic.compress(HEADER + w + TRAILER)) for w in windows(text)] or [0])
         top = np.sort(saved)[::-1][:3]
-        return float(top[0]), float(top.mean()), float(saved.mean()), float(np.log1p(100 * (saved >= 2).mean()))
+        shares = (float(np.log1p(100 * (saved >= k).mean())) for k in THRESHOLDS)
+        return float(top[0]), float(top.mean()), float(saved.mean()), *shares, float(np.log1p(len(saved))), float(np.log1p((saved >= 3).sum())), float(np.log1p((saved >= 5).sum()))
 
     def score(self, texts: Iterator[bytes]) -> np.ndarray:
-        features = [self._features(t) if self.ready else (0.0,) * 4 for t in texts]
+        features = [self._features(t) if self.ready else (0.0,) * (len(THRESHOLDS) + 6) for t in texts]
         if not self.ready or not features:
             return np.full(len(features), self.share)
         return probability(self.calibration, np.array(features))
