@@ -40,3 +40,12 @@ def test_query(spark, duck, name):
 def test_entry(spark):
     assert set(entry.entry(spark).columns) == {"left_id", "right_id", "blocking_key", "score", "priority"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_allowed_domains_has_no_cap(spark, tmp_path):
+    urls = [f"https://WWW.h{i}.example.com/p" for i in range(10_050)] + ["http://www.example.com", "http://api.a.example.com/", "http://www.a.example.org/"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = catalogue.queries()["allowed_domains"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert plain(got) == plain(con.execute(catalogue.oracle_sql()["allowed_domains"]).df()) and got.allowed.sum() == 10_051
