@@ -225,6 +225,31 @@ def test_recurring_lines_go_but_where_they_come_first(spark):
     assert [got[i] for i in (5, 6, 7)] == ["hi\nhi", "hi", "hi"] and cleaned.columns == docs.columns
 
 
+def test_every_template_of_a_leaf_is_found(spark):
+    lines = [[f"alpha beta gamma {' '.join(f't{chr(97 + t)}{chr(97 + k)}x' for k in range(6))} end{chr(97 + v)}" for v in range(6)] for t in range(10)]
+    texts = ["\n".join([prose(700 + v, 20)] + [lines[t][v] for t in range(10)]) for v in range(6)]
+    cleaned, _ = line_templates.drop_recurring_lines(spark.createDataFrame(rows(texts), SCHEMA))
+    got = {r["doc_id"]: r["text"] for r in cleaned.collect()}
+    assert got == {0: texts[0]} | {v: prose(700 + v, 20) for v in range(1, 6)}
+    assert len(line_templates.line_templates(spark.createDataFrame(rows(texts), SCHEMA))[0].collect()) == 10
+
+
+def test_index_of_seeds_equals_plain_rounds(monkeypatch):
+    rng = np.random.default_rng(5)
+    for n in (5, 9, 10, 23):
+        base = rng.integers(0, 9, (12, n)).astype(np.int32)
+        base[:, :3] = 0
+        forms = base[rng.integers(0, 12, 300)]
+        for row in forms:
+            row[3 + rng.integers(0, n - 3, n // 5)] = rng.integers(0, 9)
+        forms = np.unique(forms, axis=0)
+        forms = forms[rng.permutation(len(forms))]
+        monkeypatch.setattr(line_templates, "DIRECT", 0)
+        indexed = line_templates.gathered(forms)
+        monkeypatch.setattr(line_templates, "DIRECT", 10**6)
+        assert (indexed == line_templates.gathered(forms)).all()
+
+
 def test_line_dedup_of_odd_rows(odd, empty):
     got = line_templates.line_report(odd).toPandas()
     assert len(got) == odd.count() and got.text_sha256.isna().sum() == 2 and got[got.text_sha256.isna()].n_lines.tolist() == [0, 0]
