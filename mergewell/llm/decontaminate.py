@@ -10,6 +10,8 @@ from mergewell.session import cut_lineage
 WINDOW = 5
 #: Share of an item's windows that one alignment with a document must hold.
 OVERLAP = 0.8
+#: Positions by which one alignment may shift from its first to its last window, for inserted or missing words.
+DRIFT = 8
 #: Tokens of a window that are no placeholders.
 MIN_LITERALS = 3
 #: More distinct benchmark windows than this are joined by a shuffle instead of a broadcast (about 40 bytes each).
@@ -28,64 +30,114 @@ def _is_number(token: Column) -> Column:
     return (token >= "0") & (token < ":")
 
 
-def template(raw: Column) -> Column:
-    """Tokens with numbers, capitalised words and units that follow a number replaced by typed placeholders, others lower-cased."""
+def template(raw: Column, low: Column, named: bool = True) -> Column:
+    """Tokens with numbers, capitalised words (if named) and units that follow a number replaced by typed placeholders, others lower-cased; low holds the lower-cased tokens."""
 
     def canonical(token: Column, i: Column) -> Column:
-        first = F.substring(token, 1, 1)
-        low = F.lower(token)
-        before = F.get(raw, i - 1)
-        return F.when(_is_number(token), NUMBER).when(low.isin(*UNITS) & (i > 0) & _is_number(before), UNIT).when(F.lower(first) != first, NAME).otherwise(low)
+        own = F.get(low, i)
+        made = F.when(_is_number(token), NUMBER).when((i > 0) & _is_number(F.get(raw, i - 1)) & own.isin(*UNITS), UNIT)
+        return (made.when(F.substring(own, 1, 1) != F.substring(token, 1, 1), NAME) if named else made).otherwise(own)
 
     return F.transform(raw, canonical)
 
 
+def _starts(form: str, token: Column, i: Column) -> Column:
+    """Whether the token at position i is none of a run of adjacent numbers or names, or begins one."""
+    return ~((token == NUMBER) | (token == NAME)) | (i == 0) | (F.get(form, i - 1) != token)
+
+
+def _typed(table: DataFrame, *keys: str) -> DataFrame:
+    """(keys, raw, kind, form) from (keys, body): kind 0 names capitalised words, 1 folds case, so that copies match whatever their case."""
+    raw = table.select(*keys, tokens(F.col("body")).alias("raw"))
+    both = raw.select("*", F.transform("raw", F.lower).alias("low"))
+    kinds = [F.struct(F.lit(k).alias("kind"), template(F.col("raw"), F.col("low"), k == 0).alias("form")) for k in (0, 1)]
+    return both.select(*keys, "raw", F.explode(F.array(*kinds)).alias("x")).select(*keys, "raw", "x.kind", "x.form")
+
+
+def _forms(table: DataFrame, *keys: str) -> DataFrame:
+    """(keys, kind, form) from (keys, body). Adjacent numbers, and adjacent names, are one placeholder."""
+    return _typed(table, *keys).select(*keys, "kind", F.filter("form", lambda t, i: _starts("form", t, i)).alias("form"))
+
+
+def _runs(table: DataFrame, *keys: str) -> DataFrame:
+    """(keys, kind, runs) from (keys, body): the tokens, in an array, that each position of the form stands for."""
+    begins = F.filter(F.transform("form", lambda t, i: F.when(_starts("form", t, i), i)), lambda i: i.isNotNull())
+    placed = _typed(table, *keys).select(*keys, "raw", "kind", begins.alias("begins"))
+    runs = F.transform("begins", lambda b, i: F.slice("raw", b + 1, F.coalesce(F.get("begins", i + 1), F.size("raw")) - b))
+    return placed.select(*keys, "kind", runs.alias("runs"))
+
+
 def _hashes(column: str) -> Column:
     """The hash of each window of the token array, by position; shorter arrays have none."""
     n = F.size(column)
     starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64(F.slice(column, i, WINDOW)))
+    return F.transform(starts, lambda i: F.xxhash64("kind", F.slice(column, i, WINDOW)))
 
 
 def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(item_id, p, w) for each window with enough literal tokens, and (item_id, windows, slots) for each item that has any.
+    """(item, kind, p, w) for each window with enough literal tokens, and (item, kind, windows, slots) for each form of an item that has any.
 
-    slots are (p, value) of the placeholders. Items that repeat exactly count once.
+    slots are (p, value) of the placeholders, a value being the tokens of its run. Items that repeat exactly count once.
     """
-    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("text")).where("item_id is not null").distinct()
-    items = items.select(F.struct("item_id", F.xxhash64("text").alias("x")).alias("item"), tokens(F.col("text")).alias("raw")).withColumn("form", template(F.col("raw")))
-    each = items.select("item", F.posexplode(_hashes("form")).alias("p", "w"), "form")
+    items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("body")).where("item_id is not null").distinct()
+    items = items.select(F.struct("item_id", F.xxhash64("body").alias("x")).alias("item"), "body")
+    forms = _forms(items, "item")
+    each = forms.select("item", "kind", F.posexplode(_hashes("form")).alias("p", "w"), "form")
     literal = F.size(F.filter(F.slice("form", F.col("p") + 1, WINDOW), lambda t: ~t.isin(NUMBER, NAME, UNIT)))
-    rows = 64 * benchmark.count()
-    windows = cut_lineage(each.where(literal >= MIN_LITERALS).select("item", "p", "w"), rows)
-    slots = F.filter(F.transform("form", lambda t, i: F.when(t.isin(NUMBER, NAME, UNIT), F.struct(i.alias("p"), F.get("raw", i).alias("value")))), lambda s: s.isNotNull())
-    counts = windows.groupBy("item").agg(F.count("*").alias("windows"))
-    return windows, cut_lineage(items.select("item", slots.alias("slots")).join(counts, "item"), rows)
+    rows = 128 * benchmark.count()
+    windows = cut_lineage(each.where(literal >= MIN_LITERALS).select("item", "kind", "p", "w"), rows)
+    slots = F.filter(F.transform("form", lambda t, i: F.when(t.isin(NUMBER, NAME, UNIT), F.struct(i.alias("p"), F.get("runs", i).alias("value")))), lambda s: s.isNotNull())
+    counts = windows.groupBy("item", "kind").agg(F.count("*").alias("windows"))
+    valued = forms.join(_runs(items, "item"), ["item", "kind"]).select("item", "kind", slots.alias("slots"))
+    return windows, cut_lineage(valued.join(counts, ["item", "kind"]), rows)
+
+
+def _slot_pairs(mine: Column, theirs: Column) -> Column:
+    """Values that must stand for each other: token by token where both runs are as long, else run by run."""
+    whole = F.array(F.struct(F.array_join(mine, " ").alias("mine"), F.array_join(theirs, " ").alias("theirs")))
+    return F.when(F.size(mine) == F.size(theirs), F.zip_with(mine, theirs, lambda a, b: F.struct(a.alias("mine"), b.alias("theirs")))).otherwise(whole)
 
 
 def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """(th, item_id, matched, windows, same_slots): texts, by their hash, that hold OVERLAP of an item's windows in one alignment with consistent slots.
 
     Windows of both sides are joined by hash, never by pairs of documents and items. Matches are counted
-    per text, item and distance between their positions, so scattered windows do not add up. Each slot
-    value of the item must stand for one value in the text throughout the alignment; same_slots tells
-    verbatim copies from re-parameterised ones. Texts of fewer than five tokens match nothing.
+    per text, item, form and distance between their positions, up to DRIFT apart, so scattered windows do
+    not add up. Each slot value of the item must stand for one value in the text throughout the
+    alignment, where slots lie at the distance of the matched windows round them; an alignment of one
+    distance alone is tried as well. same_slots tells verbatim copies from re-parameterised ones. Texts
+    of fewer than five tokens match nothing.
     """
     windows, items = benchmark_windows(benchmark)
-    wanted = windows.select("w", "item", "p")
-    if windows.count() <= BROADCAST_WINDOWS:
-        wanted = F.broadcast(wanted)
-    forms = documents.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("th"), template(tokens(F.col(text))).alias("form"))
-    placed = forms.select("th", F.posexplode(_hashes("form")).alias("q", "w"))
-    aligned = placed.join(wanted, "w").groupBy("th", "item", (F.col("q") - F.col("p")).alias("shift")).agg(F.count_distinct("p").alias("matched"))
-    enough = cut_lineage(aligned.join(F.broadcast(items) if windows.count() <= BROADCAST_WINDOWS else items, "item").where(F.col("matched") >= F.col("windows") * OVERLAP).select("th", "item", "shift", "matched", "windows"))
+    wanted, few = windows.select("w", "item", "kind", "p"), windows.count() <= BROADCAST_WINDOWS
+    sized = items.select("item", "kind", "windows")
+    if few:
+        wanted, sized = F.broadcast(wanted), F.broadcast(sized)
+    bodies = documents.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("th"), F.col(text).alias("body"))
+    placed = _forms(bodies, "th").select("th", F.posexplode(_hashes("form")).alias("q", "w"))
+    met = placed.join(wanted, "w").groupBy("th", "item", "kind", "p").agg(F.collect_set(F.col("q") - F.col("p")).alias("shifts"))
+    held = met.groupBy("th", "item", "kind").agg(F.count("*").alias("found"), F.collect_list(F.struct("p", "shifts")).alias("places"))
+    possible = cut_lineage(held.join(sized, ["item", "kind"]).where(F.col("found") >= F.col("windows") * OVERLAP).select("th", "item", "kind", "places", "windows"))
+    places = possible.select("th", "item", "kind", "windows", F.explode("places").alias("x")).select("th", "item", "kind", "windows", "x.p", F.explode("x.shifts").alias("shift"))
+    strength = places.groupBy("th", "item", "kind", "shift").agg(F.count("*").alias("strong"))
+    weighed = places.join(strength, ["th", "item", "kind", "shift"])
+    bases = F.array(F.struct(F.col("shift").alias("base"), F.lit(0).alias("drift")), *[F.struct((F.col("shift") - d).alias("base"), F.lit(DRIFT).alias("drift")) for d in range(DRIFT + 1)])
+    spread = weighed.select("*", F.explode(bases).alias("b")).select("*", "b.base", "b.drift").groupBy("th", "item", "kind", "windows", "base", "drift", "p").agg(F.max(F.struct("strong", "shift")).alias("best"))
+    enough = spread.groupBy("th", "item", "kind", "windows", "base", "drift").agg(F.count("*").alias("matched"), F.array_sort(F.collect_list(F.struct("p", F.col("best.shift").alias("shift")))).alias("path"))
+    enough = cut_lineage(enough.where(F.col("matched") >= F.col("windows") * OVERLAP).dropDuplicates(["th", "item", "kind", "path"]))
     needed = enough.select("th").distinct()
-    bodies = documents.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("th"), F.col(text).alias("body")).join(needed, "th", "left_semi").dropDuplicates(["th"])
-    sided = enough.join(items.select("item", "slots"), "item").join(bodies.select("th", tokens(F.col("body")).alias("raw")), "th")
-    paired = F.transform("slots", lambda s: F.struct(s["value"].alias("mine"), F.get("raw", s["p"] + F.col("shift").cast("int")).alias("theirs")))
-    inside = F.array_distinct(F.filter(paired, lambda s: s["theirs"].isNotNull()))
-    checked = sided.withColumn("pairs", inside)
-    consistent = checked.where(F.size(F.array_distinct(F.col("pairs.mine"))) == F.size("pairs"))
+    copied = _runs(bodies.join(needed, "th", "left_semi").dropDuplicates(["th"]), "th")
+    sided = enough.join(items.select("item", "kind", "slots"), ["item", "kind"]).join(copied, ["th", "kind"])
+    slots = sided.select("th", "item", "kind", "base", "drift", "matched", "windows", "path", "runs", F.explode_outer("slots").alias("slot"))
+    behind = F.filter("path", lambda x: x["p"] <= F.col("slot.p"))
+    last = F.get(behind, F.size(behind) - 1)
+    then = F.get(F.filter("path", lambda x: x["p"] + (WINDOW - 1) >= F.col("slot.p")), F.lit(0))
+    # a slot outside all matched windows, between two distances, has no certain place in the text
+    nearest = F.when(then["p"] <= F.col("slot.p"), then["shift"]).when(last.isNull() | then.isNull() | (last["shift"] == then["shift"]), F.coalesce(then["shift"], last["shift"]))
+    theirs = F.get("runs", (F.col("slot.p") + nearest).cast("int"))
+    paired = slots.withColumn("theirs", theirs).withColumn("pairs", F.when(F.col("slot").isNotNull() & F.col("theirs").isNotNull(), _slot_pairs(F.col("slot.value"), F.col("theirs"))))
+    gathered = paired.groupBy("th", "item", "kind", "base", "drift", "matched", "windows").agg(F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
+    consistent = gathered.where(F.size(F.array_distinct(F.col("pairs.mine"))) == F.size("pairs"))
     verdict = consistent.withColumn("same", F.forall("pairs", lambda s: s["mine"] == s["theirs"]))
     return verdict.groupBy("th", F.col("item.item_id").alias("item_id")).agg(F.max("matched").alias("matched"), F.max("windows").alias("windows"), F.max("same").alias("same_slots"))
 

@@ -128,6 +128,29 @@ def test_templates_catch_reparameterised_items_and_leave_clean_texts(spark):
     assert sorted(r["doc_id"] for r in decontaminate.drop_contaminated(docs, bench).collect()) == [2, 3, 4, 5]
 
 
+def flagged(spark, item, texts):
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    report = decontaminate.decontamination_report(spark.createDataFrame(rows(texts), SCHEMA), bench)
+    return [r["contaminated"] for r in sorted(report.collect())]
+
+
+ITEM = "if Anna buys 12 kg of flour and sells 5 kg to Bruno how much flour does Anna keep for the long winter months ahead"
+
+
+def test_items_match_whatever_their_case(spark):
+    texts = [f(prose(1) + " " + ITEM + " " + prose(2)) for f in (str.upper, str.title, str.lower)]
+    assert flagged(spark, ITEM, texts + [prose(1).upper()]) == [True, True, True, False]
+
+
+def test_items_match_with_longer_slots_and_inserted_words(spark):
+    longer = ITEM.replace("Bruno", "Bruno Rossi").replace("12", "1 200")
+    inserted = ITEM.replace("the long", "the very long")
+    broken = longer.replace("does Anna", "does Ernst")
+    scattered = " ".join(ITEM.split()[:11]) + " " + prose(5) + " " + " ".join(ITEM.split()[11:])
+    texts = [prose(i) + " " + t + " " + prose(i + 9) for i, t in enumerate([longer, inserted, broken, scattered])]
+    assert flagged(spark, ITEM, texts) == [True, True, False, False]
+
+
 def test_decontamination_of_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, prose(3))], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
