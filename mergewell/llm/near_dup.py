@@ -130,15 +130,120 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     return marked.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+#: Texts that share this much of their distinct shingles are near copies for keep_first.
+JACCARD = 0.8
+#: Min-hashes: BANDS keys of ROWS each. Two texts at 0.8 meet in no key with a chance of (1 - 0.8 ** 4) ** 24, 3 in a million; above 0.8 it is less.
+BANDS, ROWS = 24, 4
+#: Rounds in which the texts of a key are compared with one of them only; the pairs of texts still apart are then all compared.
+STARS = 3
+_FACTORS = np.random.default_rng(42).integers(1, 1 << 32, BANDS * ROWS, np.uint32) | np.uint32(1)
+
+
+def shingles_of(text: bytes, width: int) -> np.ndarray:
+    """The sorted distinct hashes of the word shingles; a shorter text is one shingle, a text without words has the shingle 0."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(1, np.uint64)
+    hashed = xxhash.xxh64_intdigest
+    return np.unique(np.array([hashed(b" ".join(words[i : i + width]), 42) for i in range(max(1, len(words) - width + 1))], np.uint64))
+
+
+def bands_of(shingles: np.ndarray) -> np.ndarray:
+    """BANDS keys; two texts share one where ROWS of their min-hashes agree."""
+    short = shingles.astype(np.uint32)
+    least = np.full(len(_FACTORS), np.iinfo(np.uint32).max, np.uint32)
+    for i in range(0, len(short), 2048):
+        np.minimum(least, (_FACTORS[:, None] * short[None, i : i + 2048]).min(1), out=least)
+    return np.array([xxhash.xxh64_intdigest(least[b * ROWS : (b + 1) * ROWS].tobytes(), b) for b in range(BANDS)], np.uint64)
+
+
+def _signed(documents: DataFrame, width: int) -> DataFrame:
+    """(k, x.s, x.n, x.bands): the hash of each text's shingle set, its size and its keys."""
+
+    @arrow_udf("struct<s:long,n:long,bands:array<long>>")
+    def signed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            sets = [shingles_of(t, width) for t in text_bytes(part)]
+            bands = np.array([bands_of(x) for x in sets], np.uint64).reshape(-1)
+            hashes = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bands) + 1, BANDS), pa.int32()), pa.array(bands.view(np.int64)))
+            yield pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array([len(x) for x in sets], pa.int64()), lists], ["s", "n", "bands"])
+
+    return documents.withColumn("x", signed("text")).select("k", "x.*")
+
+
+def _sets(documents: DataFrame, width: int) -> DataFrame:
+    @arrow_udf("array<long>")
+    def sets(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for part in parts:
+            found = [shingles_of(t, width).view(np.int64) for t in text_bytes(part)]
+            ends = np.cumsum([0] + [len(x) for x in found])
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found) if found else np.zeros(0, np.int64)))
+
+    return documents.withColumn("set", sets("text")).select("s", "set")
+
+
+def _alike(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose shingle sets have a Jaccard similarity of JACCARD or more."""
+    both = pairs.join(sets.select(F.col("s").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("s").alias("b"), F.col("set").alias("y")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    # 5 common >= 4 union, in whole numbers, is a similarity of 0.8 or more
+    return both.where(round(JACCARD * 10) * (F.size("x") + F.size("y") - common) <= 10 * common).select("a", "b")
+
+
+def _near_enough(n: str, m: str) -> Column:
+    """Sets whose sizes alone leave JACCARD possible."""
+    return 10 * F.least(n, m) >= round(JACCARD * 10) * F.greatest(n, m)
+
+
+def similar_classes(documents: DataFrame, width: int = 5) -> DataFrame:
+    """(k, c) for every row of (k, text): c is the smallest k reachable through texts of a Jaccard similarity of JACCARD or more.
+
+    Candidates share a min-hash key; each is verified on the exact shingle sets. The texts of a key are
+    first compared with one of them, another in each of STARS rounds, so a large group of copies needs
+    no pairs; then every two texts of a key that are still in different classes are compared.
+    """
+    marked = cut_scan(_signed(documents, width), documents)
+    rows = marked.count()
+    distinct = cut_lineage(marked.groupBy("s").agg(F.min("k").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands")), rows)
+    keys = distinct.select("s", "n", F.posexplode("bands").alias("band", "key"))
+    shared = keys.groupBy("band", "key").agg(F.count("*").alias("m")).where("m > 1").select("band", "key")
+    met = cut_lineage(keys.join(shared, ["band", "key"]), BANDS * rows)
+    wanted = met.select("s").distinct()
+    texts = distinct.join(wanted, "s").select("s", F.col("first").alias("k"))
+    sets = cut_lineage(_sets(documents.join(texts, "k").select("s", "text").dropDuplicates(["s"]), width))
+    named, edges = met.withColumn("c", F.col("s")), None
+    for turn in range(STARS + 1):
+        apart = named.groupBy("band", "key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min_by(F.struct("s", "n", "c"), F.xxhash64("s", F.lit(turn))).alias("centre")).where("low <> high")
+        if turn < STARS:
+            pairs = named.join(apart.select("band", "key", "centre"), ["band", "key"]).where(F.col("c") != F.col("centre.c")).where(_near_enough("n", "centre.n"))
+            pairs = pairs.select(F.col("s").alias("a"), F.col("centre.s").alias("b"))
+        else:
+            held = named.join(apart.select("band", "key"), ["band", "key"])
+            left, right = held.select("band", "key", F.col("s").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")), held.select("band", "key", F.col("s").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
+            pairs = left.join(right, ["band", "key"]).where("a < b and ca <> cb").where(_near_enough("na", "nb")).select("a", "b")
+        found = cut_lineage(_alike(pairs.distinct(), sets), rows)
+        edges = found if edges is None else edges.unionByName(found)
+        components = connected_components(edges, "a", "b", rows=rows)
+        components = cut_lineage(components, rows)
+        named = cut_lineage(met.join(components, met["s"] == components["node"], "left").select("band", "key", "s", "n", F.coalesce("component", "s").alias("c")), BANDS * rows)
+    classes = distinct.join(components, distinct["s"] == components["node"], "left").select("s", "first", F.coalesce("component", "s").alias("c"))
+    smallest = classes.groupBy("c").agg(F.min("first").alias("least"))
+    final = cut_lineage(classes.join(smallest, "c").select("s", "least"), rows)
+    return marked.join(final, "s").select("k", F.col("least").alias("c"))
+
+
 def keep_first(documents: DataFrame, width: int = 3) -> DataFrame:
-    """One document of each near-duplicate class: the one of the smallest id, of equal ids the one whose text hashes lowest.
+    """One document of each class of near copies: the one of the smallest id, of equal ids the one whose text hashes lowest.
 
-    All columns stay as they are. Documents with a null id are compared like the others, and one stays
-    where all ids of a class are null.
+    Near copies share JACCARD of their distinct shingles, and so do the copies of copies; SimHash and its
+    three bits belong to near_duplicates alone. All columns stay as they are. Documents with a null id
+    are compared like the others, and one stays where all ids of a class are null.
     """
     keyed = documents.withColumn("__t", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
-    found = near_duplicates(keyed.withColumn("__k", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__t").alias("t"))), "__k", "text", width)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id.doc_id").alias("__id"), F.col("doc_id.t").alias("__kept")).distinct()
+    found = similar_classes(keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__t").alias("t")).alias("k"), "text"), width)
+    kept = found.where("k = c").select("k").distinct()
+    kept = kept.select(F.col("k.doc_id").alias("__id"), F.col("k.t").alias("__kept"))
     joined = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__t"] == kept["__kept"]))
     first = joined.dropDuplicates(["__id", "__t"])
     return first.select(*documents.columns)

@@ -232,6 +232,41 @@ def test_near_duplicates_of_odd_rows(odd, empty):
     assert near_dup.keep_first(empty).count() == 0
 
 
+def jaccard_firsts(texts, width=5, least=0.8):
+    """Plain Python: the first of each class of texts that share `least` of their shingles."""
+    split = [t.lower().split() for t in texts]
+    sets = [{" ".join(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} for w in split]
+    group = list(range(len(texts)))
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if len(a & sets[j]) >= least * len(a | sets[j]):
+                low, high = sorted((find(i), find(j)))
+                group[high] = low
+    return {i for i in range(len(texts)) if find(i) == i}
+
+
+@pytest.mark.parametrize("stars", [3, 0])
+def test_kept_documents_equal_plain_jaccard(spark, stars, monkeypatch):
+    monkeypatch.setattr(near_dup, "STARS", stars)
+    texts = []
+    for i in range(12):
+        words = prose(500 + i, 300).split()
+        for changes in (0, 2, 4, 5, 6, 7, 9, 30):
+            copy = list(words)
+            for k in range(changes):
+                copy[(k * len(copy)) // changes + i] = f"new{k}"
+            texts.append(" ".join(copy))
+    docs = spark.createDataFrame(rows(texts + ["a b", "A  b", "a c"]), SCHEMA).repartition(3)
+    want = jaccard_firsts(texts + ["a b", "A  b", "a c"])
+    assert {r["doc_id"] for r in near_dup.keep_first(docs, 5).collect()} == want and 12 < len(want) < len(texts)
+
+
 # 7
 
 
