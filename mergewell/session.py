@@ -55,3 +55,9 @@ def cut_scan(df: DataFrame, source: DataFrame, share: int = 8) -> DataFrame:
     """As cut_lineage, for narrow rows computed while scanning the wide rows of source: they are gathered from `share` scan tasks into a file."""
     shared_folder(df.sparkSession)
     return df.repartition(max(1, -(-source.rdd.getNumPartitions() // share))).checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df, dealt evenly to one task a core where its scan has fewer tasks than the cluster has cores; else as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
