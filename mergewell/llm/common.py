@@ -7,6 +7,9 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows of (key, a few numbers) up to which a join broadcasts, and the parts into which it deals each key beyond.
+BROADCAST_ROWS, SALTS = 500_000, 16
+
 
 def remainder(doc_id: Column) -> Column:
     """crc32 of the id written as text, modulo 5; labels of remainder 0 are held out."""
@@ -33,28 +36,51 @@ def chunks(items: Iterable[bytes], limit: int = 4 << 20) -> Iterator[list[bytes]
         yield held
 
 
-def training_rows(documents: DataFrame, labels: DataFrame, label: str, per_class: int, max_chars: int) -> tuple[list[tuple[bytes, bool]], dict[bool, int]]:
-    """A bounded sample of labelled documents of remainders 1 to 4, and how many rows each class has.
+def text_key(text: Column) -> Column:
+    """Identity of a whole text: the first 128 bits of its SHA-256, so that distinct texts never count as one; null for null."""
+    return F.unhex(F.substring(F.sha2(text, 256), 1, 32))
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
+def join_small(wide: DataFrame, found: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """wide joined with found on key, of which found holds each value once; found must be materialised.
+
+    Up to BROADCAST_ROWS rows found is broadcast. Beyond, both sides are salted SALTS ways before the
+    shuffle, so that rows of one key are dealt to several tasks.
+    """
+    if found.count() <= BROADCAST_ROWS:
+        return wide.join(F.broadcast(found), key, how)
+    salt = free_name(wide, "salt")
+    salted = wide.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
+    spread = found.withColumn(salt, F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    return salted.join(spread, [key, salt], how).drop(salt)
+
+
+def training_rows(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[list[tuple[bytes, bool]], dict[bool, int]]:
+    """A bounded sample of labelled documents of remainders 1 to 4, whole, and how many labelled ids each class has.
 
-    At most per_class documents of either class, chosen by a hash of the id, reach the driver, each cut
-    to max_chars at a hashed offset: at most 2 * per_class * max_chars characters whatever the corpus
-    holds. A document labelled more than once takes the majority, ties count as true. Null labels and ids are ignored.
+    At most per_class documents of either class, chosen by a hash of the id, reach the driver. A document
+    labelled more than once takes the majority, ties count as true; an id that comes with several texts
+    takes the one of the smallest SHA-256. Null labels, ids and texts are ignored; empty tables give an empty sample.
     """
-    spark = documents.sparkSession
     known = (
         labels.select("doc_id", F.col(label).cast("double").alias("y")).where("doc_id is not null and y is not null")
         .where(remainder(F.col("doc_id")) != 0).groupBy("doc_id").agg((F.avg("y") >= 0.5).alias("y"))
     )
     counts = {bool(r["y"]): r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    chosen: list[tuple[int, bool]] = []
-    for y in counts:
-        chosen += [(r["doc_id"], y) for r in known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class).collect()]
+    chosen = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for y in sorted(counts)]
     if not chosen:
         return [], counts
-    wanted = F.broadcast(spark.createDataFrame(chosen, "doc_id long, y boolean"))  # at most 2 * per_class rows
-    room = F.greatest(F.length("text") - max_chars, F.lit(0))
-    start = F.pmod(F.xxhash64("doc_id", F.lit(1)), room + 1).cast("int") + 1
-    rows = documents.where("text is not null").select("doc_id", F.col("text")).join(wanted, "doc_id").select("doc_id", F.substring("text", start, F.lit(max_chars)).alias("text"), "y").dropDuplicates(["doc_id"]).collect()
+    wanted = F.broadcast(chosen[0] if len(chosen) == 1 else chosen[0].unionByName(chosen[1]))  # at most 2 * per_class rows
+    met = documents.where("text is not null").select("doc_id", "text").join(wanted, "doc_id")
+    rows = met.groupBy("doc_id", "y").agg(F.min_by("text", F.sha2("text", 256)).alias("text")).collect()
     rows.sort(key=lambda r: r["doc_id"])
     return [(r["text"].encode(), r["y"]) for r in rows], counts
 

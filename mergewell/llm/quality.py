@@ -12,8 +12,8 @@ from mergewell.llm.common import logistic, probability, text_bytes, training_row
 
 BITS = 15
 ORDERS = 4
+#: Most labelled documents of either class that the model is fitted on; they are read whole.
 PER_CLASS = 2000
-MAX_CHARS = 20_000
 #: Slots beside the byte n-grams: what share of the words repeats the word before.
 REPEATS = (0.0, 0.02, 0.1, 0.3, 0.6)
 
@@ -112,9 +112,9 @@ class QualityModel:
         return probability(self.calibration, np.array(features))
 
 
-def train_quality(documents: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> QualityModel:
+def train_quality(documents: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = PER_CLASS) -> QualityModel:
     """Fits on at most per_class labelled documents of either class, none of them held out."""
-    return QualityModel(*training_rows(documents, labels, label, per_class, max_chars))
+    return QualityModel(*training_rows(documents, labels, label, per_class))
 
 
 def score_texts(documents: DataFrame, model, text: str = "text", into: str = "score") -> DataFrame:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
 
 import numpy as np
 import zstandard as zstd
@@ -11,100 +10,139 @@ from pyspark.sql import DataFrame
 
 from mergewell.llm.common import logistic, probability, training_rows
 
+#: Most labelled documents of either class that the model is fitted on; they are read whole.
 PER_CLASS = 1200
-MAX_CHARS = 20_000
 #: Words in a window; windows follow one another and cover the whole text.
 WINDOW = 3
-TOXIC_BYTES, ORDINARY_BYTES = 2048, 1024
+#: Bytes to which a longer window (words without white space) is cut, and by how many its parts overlap.
+LONG_WINDOW, OVERLAP = 1024, 64
+#: Sizes of the dictionaries: toxic, ordinary, and ordinary windows that a toxic dictionary shortened by mistake.
+TOXIC_BYTES, ORDINARY_BYTES, MISTAKEN_BYTES = 8192, 100_000, 8192
+#: Bytes of the segments from which a dictionary is put together, and of the strings that are counted.
+SEGMENT, COUNTED, COUNTED_ORDINARY = 16, 8, 6
+#: Rounds of training the toxic dictionary on the windows that stand out.
+ROUNDS = 4
+#: Parts of the sample; each is measured with dictionaries trained on the others to calibrate the thresholds.
+FOLDS = 3
+#: How much more frequent among toxic windows a saving must be for its windows to train the next round.
+STANDS_OUT = 4.0
+#: Fewest windows that a round trains on.
+FEWEST = 20
+#: Bytes saved from which each threshold's evidence is calibrated apart; larger savings count as the last.
+LARGEST = 10
 #: Stands before each window and at the end of both dictionaries, so that every window compresses and a match of any length shows.
 HEADER = b"\n" * 32
-#: Stands after each window: zstandard starts no match in the last eight bytes.
-TRAILER = b"\n" * 10
-#: Bytes to which a single word (a run without white space) is cut into windows.
-LONG_WORD = 256
-#: By how many standard deviations a word's contexts must exceed what the other class predicts.
-#: Bytes of the segments from which a dictionary is put together.
-SEGMENT = 32
-DEVIATIONS, RATIO = 3.5, 4.0
-SHORTEST_STEM = 4
-#: Bytes saved from which a window counts; what the counts mean is calibrated.
-THRESHOLDS = (1, 2, 3, 4, 5, 6)
+#: Stands after each window: zstandard starts no match in the last sixteen bytes where dictionaries are large.
+TRAILER = b"\n" * 18
 
 
 def windows(text: bytes) -> Iterator[bytes]:
-    """The whole lower-cased text, WINDOW words at a time; a very long word is cut into windows of its own."""
+    """The whole lower-cased text, WINDOW words at a time; a long window is cut into overlapping parts."""
     words = text.decode("utf-8", "replace").lower().encode().split()
     for i in range(0, len(words), WINDOW):
         part = b" " + b" ".join(words[i : i + WINDOW]) + b" "
-        if len(part) <= 4 * LONG_WORD:
+        if len(part) <= LONG_WINDOW:
             yield part
         else:
-            for j in range(0, len(part), LONG_WORD):
-                yield part[j : j + LONG_WORD]
-
-
-def stems(word: bytes) -> list[bytes]:
-    """The word and its beginnings of SHORTEST_STEM characters or more."""
-    chars = word.decode("utf-8", "replace")[:LONG_WORD]
-    return [word, *(chars[:k].encode() for k in range(SHORTEST_STEM, len(chars)))]
-
-
-def typical_stems(samples: list[tuple[bytes, bool]]) -> dict[bytes, int]:
-    """Words and word beginnings that follow far more different words in toxic texts than in ordinary ones, with their number; copies of a text add no contexts."""
-    contexts: dict[bool, dict[bytes, set[bytes]]] = {False: {}, True: {}}
-    lengths = {False: 1, True: 1}
-    for toxic in (True, False):
-        followed: dict[bytes, set[bytes]] = {}
-        for text, y in samples:
-            if y == toxic:
-                words = text.decode("utf-8", "replace").lower().encode().split()
-                lengths[toxic] += len(words)
-                for before, word in zip([b""] + words, words):
-                    followed.setdefault(word, set()).add(before)
-        mine = contexts[toxic]
-        for word, before in followed.items():
-            for stem in stems(word):
-                mine.setdefault(stem, set()).update(before)
-    scale = lengths[True] / lengths[False]
-    out = {}
-    for stem, before in contexts[True].items():
-        seen, expected = len(before), len(contexts[False].get(stem, ())) * scale
-        if seen > RATIO * expected and (seen - expected) / sqrt(seen + expected + 1) > DEVIATIONS:
-            out[stem] = seen
-    return out
-
-
-def best_stem(word: bytes, typical: dict[bytes, int]) -> bytes | None:
-    """The typical stem of a word that stands for most of the toxic occurrences, longer ones first among equals."""
-    return max((s for s in stems(word) if s in typical), key=lambda s: (typical[s] * len(s), s), default=None)
-
-
-def split_classes(samples: list[tuple[bytes, bool]], typical: dict[bytes, int]) -> tuple[list[bytes], list[bytes]]:
-    """Training samples of the two dictionaries: each typical stem that toxic texts use, and the other words of each ordinary text."""
-    toxic, ordinary = [], []
-    for text, y in samples:
-        words = text.decode("utf-8", "replace").lower().encode().split()
-        if y:
-            toxic += [b"  " + s + b"  " for s in map(best_stem, words, [typical] * len(words)) if s]
-        else:
-            ordinary.append(b" " + b" ".join(w for w in words if best_stem(w, typical) is None) + b" ")
-    return toxic, ordinary
+            for j in range(0, len(part), LONG_WINDOW - OVERLAP):
+                yield part[j : j + LONG_WINDOW]
+
 
+def dictionary(size: int, texts: list[bytes], counted: int) -> bytes:
+    """A zstandard dictionary trained on all the texts; the texts themselves, in order, where they are too few to train on.
 
-def trained(size: int, texts: list[bytes]) -> bytes:
-    """A zstandard dictionary; the distinct texts themselves where they are too few to train on."""
+    The trainer stops early where a stretch of its input holds nothing that repeats, as a long document
+    of junk does; so it gets the texts in the order of a hash.
+    """
     try:
-        return zstd.train_dictionary(size, [t for t in texts if len(t) >= 8], k=SEGMENT, d=6, level=3).as_bytes()
+        return zstd.train_dictionary(size, sorted((t for t in texts if t), key=hash_order), k=SEGMENT, d=counted, level=3).as_bytes()
     except (zstd.ZstdError, ValueError):
         return b"".join(sorted(set(texts)))[:size]
 
 
+def compressor(content: bytes) -> zstd.ZstdCompressor:
+    how = zstd.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=16, search_log=6, min_match=4, target_length=64, strategy=zstd.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
+    held = zstd.ZstdCompressionDict(content + HEADER, dict_type=zstd.DICT_TYPE_RAWCONTENT)
+    held.precompute_compress(compression_params=how)
+    return zstd.ZstdCompressor(dict_data=held, compression_params=how)
+
+
+def savings(ordinary: zstd.ZstdCompressor, toxic: zstd.ZstdCompressor, parts) -> np.ndarray:
+    """By how many bytes the toxic dictionary makes each window shorter than the ordinary one does."""
+    framed = (HEADER + w + TRAILER for w in parts)
+    return np.array([len(ordinary.compress(w)) - len(toxic.compress(w)) for w in framed], np.int64)
+
+
+def trained_pair(toxic_texts: list[bytes], ordinary_texts: list[bytes]) -> tuple[bytes, bytes]:
+    """The contents (ordinary, toxic) of the two compressors.
+
+    The ordinary dictionary is trained on all windows of ordinary texts. The toxic one starts from all of
+    toxic texts, most of whose windows are ordinary prose; so texts are halved, each half's windows are
+    measured with the dictionary of the other half, and those with a saving that is STANDS_OUT times as
+    frequent among toxic windows as among ordinary ones train the next dictionary. Ordinary windows
+    that a toxic dictionary shortens train one of their own, which both compressors then hold. Copies
+    of a text or window count once. The toxic compressor holds the ordinary content behind its own, so
+    an ordinary window costs the same with either.
+    """
+    halves, ordinary_halves, seen = [], [], set()
+    for texts, out in ((toxic_texts, halves), (ordinary_texts, ordinary_halves)):
+        distinct = sorted(set(texts), key=hash_order)
+        for part in (distinct[0::2], distinct[1::2]):
+            held = []
+            for text in part:
+                for w in windows(text):
+                    if w not in seen:
+                        seen.add(w)
+                        held.append(w)
+            out.append(held)
+    shared = dictionary(ORDINARY_BYTES, ordinary_halves[0] + ordinary_halves[1], COUNTED_ORDINARY)
+    chosen = halves
+    mistaken: list[list[bytes]] = [[], []]
+    for _ in range(ROUNDS):
+        following, wrong = [[], []], [[], []]
+        for a in (0, 1):
+            b = 1 - a
+            base = (dictionary(MISTAKEN_BYTES, mistaken[a], COUNTED) if len(mistaken[a]) >= FEWEST else b"") + shared
+            ordinary, toxic = compressor(base), compressor(dictionary(TOXIC_BYTES, chosen[a], COUNTED) + base)
+            mine, others = savings(ordinary, toxic, halves[b]), savings(ordinary, toxic, ordinary_halves[b])
+            least = 1
+            for t in range(1, 40):
+                if (mine >= t).sum() < FEWEST:
+                    break
+                least = t
+                if (mine >= t).mean() >= STANDS_OUT * ((others >= t).sum() + 1) / (len(others) + 1):
+                    break
+            following[b] = [w for w, s in zip(halves[b], mine) if s >= least] or chosen[b]
+            wrong[b] = mistaken[b] + [w for w, s in zip(ordinary_halves[b], others) if s >= 2]
+        chosen, mistaken = following, wrong
+    both = mistaken[0] + mistaken[1]
+    base = (dictionary(MISTAKEN_BYTES, both, COUNTED) if len(both) >= FEWEST else b"") + shared
+    return base, dictionary(TOXIC_BYTES, chosen[0] + chosen[1], COUNTED) + base
+
+
+def hash_order(text: bytes) -> tuple[int, bytes]:
+    from zlib import crc32
+
+    return crc32(text), text
+
+
+def best_cut(told: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> float:
+    """The value from which rows are called toxic with the best balance (F1) of those caught and those called so wrongly, halfway to the next lower one."""
+    order = np.argsort(-told, kind="stable")
+    caught, called = np.cumsum((weight * toxic)[order]), np.cumsum(weight[order])
+    last = np.append(np.diff(told[order]) < 0, True)  # equal values stand or fall together
+    quality = np.where(last, 2 * caught / (called + (weight * toxic).sum()), 0)
+    at = int(quality.argmax())
+    return float((told[order][at] + told[order][min(at + 1, len(order) - 1)]) / 2)
+
+
 class ToxicityModel:
-    """Two dictionaries, one trained on the class-typical parts of toxic texts, one on ordinary texts, and calibrated thresholds on how much shorter the toxic one makes windows.
+    """Two dictionaries and the calibrated evidence of each threshold on the bytes that the toxic one saves.
 
-    The toxic compressor reads both dictionaries, the toxic one last, so that an ordinary window costs
-    nearly the same with either. Greedy matching is used: the optimal parser's prices for a block this
-    short pass over single words. Without both classes the score is the share of toxic labels.
+    Each document of the sample is measured with dictionaries trained on other folds. Each number of
+    bytes saved gets the log of how much more frequent it is among windows of toxic documents; a text's
+    evidence is the sum over its windows. Scores rise with it; 0.5 is where these documents are told apart best. Without both classes the score is the share of toxic labels. An empty
+    text has one window without saving.
     """
 
     def __init__(self, samples: list[tuple[bytes, bool]], counts: dict[bool, int]):
@@ -115,51 +153,50 @@ class ToxicityModel:
         self._pair = None
         if not self.ready:
             return
-        rest = np.zeros(len(samples), bool)
+        fold = np.zeros(len(samples), int)
         order = np.random.RandomState(5)
         for y in (False, True):
             mine = order.permutation(np.flatnonzero(toxic == y))
-            rest[mine[: max(2, len(mine) * 3 // 10)]] = True
-        fit = [s for s, r in zip(samples, rest) if not r]
-        typical = typical_stems(fit)
-        toxic_parts, ordinary_parts = split_classes(fit, typical)
-        shared = trained(ORDINARY_BYTES, ordinary_parts)
-        self.ordinary = shared + HEADER
-        self.toxic = shared + trained(TOXIC_BYTES, toxic_parts) + HEADER
-        held = [s for s, r in zip(samples, rest) if r]
-        y = np.array([s[1] for s in held], bool)
-        weight = np.where(y, counts[True] / toxic.sum(), counts[False] / (~toxic).sum())
-        self.calibration = logistic(np.array([self._features(t) for t, _ in held]), y.astype(float), weight)
+            fold[mine] = np.arange(len(mine)) % FOLDS
+        held = np.zeros((len(samples), LARGEST + 1), np.int64)
+        for k in range(FOLDS):
+            self._train([s for s, f in zip(samples, fold) if f != k])
+            for i in np.flatnonzero(fold == k):
+                held[i] = self._bins(samples[i][0])
+        self._train(samples)
+        seen = np.array([held[~toxic].sum(0), held[toxic].sum(0)]) + 0.5
+        self.evidence = np.log((seen[1] / seen[1].sum()) / (seen[0] / seen[0].sum()))
+        self.evidence[1:] = np.maximum.accumulate(self.evidence[1:])  # more bytes saved are never less evidence
+        weight = np.where(toxic, counts[True] / toxic.sum(), counts[False] / (~toxic).sum())
+        features = np.array([self._features(b) for b in held])
+        mean, scale, beta = self.calibration = logistic(features, toxic.astype(float), weight)
+        told = ((features - mean) / scale) @ beta[:-1] + beta[-1]
+        beta[-1] -= best_cut(told, toxic, weight)
+
+    def _train(self, samples: list[tuple[bytes, bool]]) -> None:
+        self.ordinary, self.toxic = trained_pair([t for t, y in samples if y], [t for t, y in samples if not y])
+        self._pair = None
 
     def __getstate__(self):
         return self.__dict__ | {"_pair": None}
 
-    def _compressors(self):
+    def _bins(self, text: bytes) -> np.ndarray:
         if self._pair is None:
-            how = zstd.ZstdCompressionParameters(window_log=15, chain_log=14, hash_log=14, search_log=6, min_match=4, target_length=64, strategy=zstd.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
-            pair = []
-            for content in (self.toxic, self.ordinary):
-                dictionary = zstd.ZstdCompressionDict(content, dict_type=zstd.DICT_TYPE_RAWCONTENT)
-                dictionary.precompute_compress(compression_params=how)
-                pair.append(zstd.ZstdCompressor(dict_data=dictionary, compression_params=how))
-            self._pair = tuple(pair)
-        return self._pair
-
-    def _features(self, text: bytes) -> tuple[float, ...]:
-        """The largest savings, their mean, the share of windows from each threshold on, and how many windows there are."""
-        toxic, ordinary = self._compressors()
-        saved = np.array([len(ordinary.compress(HEADER + w + TRAILER)) - len(toxic.compress(HEADER + w + TRAILER)) for w in windows(text)] or [0])
-        top = np.sort(saved)[::-1][:3]
-        shares = (float(np.log1p(100 * (saved >= k).mean())) for k in THRESHOLDS)
-        return float(top[0]), float(top.mean()), float(saved.mean()), *shares, float(np.log1p(len(saved))), float(np.log1p((saved >= 3).sum())), float(np.log1p((saved >= 5).sum()))
+            self._pair = compressor(self.ordinary), compressor(self.toxic)
+        saved = savings(*self._pair, windows(text))
+        return np.bincount(np.clip(saved, 0, LARGEST), minlength=LARGEST + 1) if len(saved) else np.eye(1, LARGEST + 1, dtype=np.int64)[0]
+
+    def _features(self, bins: np.ndarray) -> tuple[float, float, float]:
+        told = float(bins @ self.evidence)
+        return told, told / float(np.sqrt(bins.sum())), float(np.log(bins.sum()))
 
     def score(self, texts: Iterator[bytes]) -> np.ndarray:
-        features = [self._features(t) if self.ready else (0.0,) * (len(THRESHOLDS) + 6) for t in texts]
-        if not self.ready or not features:
-            return np.full(len(features), self.share)
-        return probability(self.calibration, np.array(features))
+        if not self.ready:
+            return np.full(sum(1 for _ in texts), self.share)
+        features = [self._features(self._bins(t)) for t in texts]
+        return probability(self.calibration, np.array(features)) if features else np.zeros(0)
 
 
-def train_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, max_chars: int = MAX_CHARS) -> ToxicityModel:
-    """Fits on at most per_class labelled documents of either class, none of them held out."""
-    return ToxicityModel(*training_rows(documents, labels, label, per_class, max_chars))
+def train_toxicity(documents: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS) -> ToxicityModel:
+    """Fits on at most per_class labelled documents of either class, none of them held out. Null, empty and repeated rows: see training_rows."""
+    return ToxicityModel(*training_rows(documents, labels, label, per_class))
