@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from mergewell.llm.common import text_bytes
+from mergewell.llm.common import BROADCAST_ROWS, text_bytes, text_key
 from mergewell.operators.components import connected_components
 from mergewell.session import cut_lineage, cut_scan
 
@@ -20,6 +21,10 @@ CHAIN = 2
 SIMILARITY = 0.8
 #: Width, in hex digits, of one signature in a fingerprint.
 DIGITS = 8
+#: Keys drawn for each range of documents to place its bounds.
+SAMPLED = 40
+#: Equal rows (id and text) from which they are counted before texts are shuffled, and copies that one task then repeats.
+HOT_ROWS, REPEATED = 1000, 10_000
 #: Common words that anchor chains.
 ANCHORS = frozenset(
     "a an and are as at be by for from has have in is it of on or that the this to was were with "
@@ -108,61 +113,148 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
     return marked.join(cut_lineage(named), "fingerprint", "left").select("doc_id", "class_id", "component_id"), linked
 
 
-def edited_fingerprints(documents: DataFrame, ranges: int | None = None) -> DataFrame:
-    """For every document its fingerprint, that of its edited text, and how alike they and the next document's are.
+def _key(doc_id, text_id: bytes) -> tuple:
+    """The place of a row among all others, as a value that falls from the first to the last: descending ids, null last, equal ids by the text's identity."""
+    return (doc_id is not None, doc_id if doc_id is not None else 0, text_id)
 
-    The edited text has its last third replaced by the first as many characters (or all) of the next
-    document, descending doc_id (null last; equal ids by text hash), after the last the first; a single
-    document is its own next. Texts are shuffled once, by ranges of doc_id holding about equally many
-    rows; the first row of each range is also sent to the range before it, so the next text is always at
-    hand while a task holds two texts at a time.
+
+def _ranges(rows: DataFrame, narrow: DataFrame, ranges: int) -> tuple[DataFrame, int]:
+    """rows with (r, guest), their range in descending order of (doc_id, tk), numbered from 0, and how many ranges there are; narrow holds (doc_id, tk) of all rows.
+
+    Bounds come from a sample of about SAMPLED keys a range, drawn by hash; they decide only how evenly
+    tasks are filled. The first row of each range also appears as a guest of the range before, that of
+    the first range in the last. Bounds and first rows, a key a range, travel with the tasks; the plan
+    does not grow with their number.
     """
-    spark = documents.sparkSession
-    ranges = ranges or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("at", F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), F.xxhash64("text").alias("th")))
-    cuts = sorted(set(documents.where("doc_id is not null").approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)))
-    bounds = F.array(*[F.lit(int(c)) for c in cuts]) if cuts else F.array().cast("array<long>")
-    placed = rows.withColumn("r", F.size(F.filter(bounds, lambda b: b > F.col("at")["id"])))
-    first = {x["r"]: x["at"] for x in placed.groupBy("r").agg(F.max("at").alias("at")).collect()}  # a row for each range
-    order = sorted(first)
-    here = F.array(F.struct(F.col("r").alias("r"), F.lit(0).alias("guest")))
-    targets = here
-    for k, r in enumerate(order):
-        before = order[k - 1]
-        mine = (F.col("r") == r) & (F.col("at")["id"] == first[r]["id"]) & (F.col("at")["th"] == first[r]["th"])
-        targets = F.when(mine, F.array(F.struct(F.lit(r).alias("r"), F.lit(0).alias("guest")), F.struct(F.lit(before).alias("r"), F.lit(1).alias("guest")))).otherwise(targets)
-    dealt = placed.select("doc_id", "text", "at", F.explode(targets).alias("x")).select("doc_id", "text", "at", "x.r", "x.guest")
-    sorted_rows = dealt.repartition(ranges, "r").sortWithinPartitions("r", "guest", F.desc("at")).select("doc_id", "text", "r", "guest")
-    schema = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
-
-    def judged(held, text: str, found: list[int]):
-        doc_id, own, mine = held
-        third = len(own) // 3
-        edited = (own[: len(own) - third] + text[:third]).encode()
-        theirs = signatures(edited)
-        return doc_id, len(own), sha256(edited).hexdigest(), packed(mine), packed(theirs), likeness(mine, theirs), likeness(mine, found)
+    share = min(1.0, SAMPLED * ranges / max(narrow.count(), 1))
+    drawn = narrow.where(F.pmod(F.xxhash64("doc_id", "tk"), F.lit(1 << 30)) < int(share * (1 << 30))).distinct().collect()
+    sample = sorted(_key(r["doc_id"], bytes(r["tk"])) for r in drawn)
+    bounds = sorted({sample[len(sample) * i // ranges] for i in range(1, ranges)}) if sample else []
+
+    def located(ids: pa.Array, keys: pa.Array) -> list[tuple[int, tuple]]:
+        made = [_key(i, t) for i, t in zip(ids.to_pylist(), keys.to_pylist())]
+        return [(len(bounds) - bisect_right(bounds, k), k) for k in made]
+
+    @arrow_udf("int")
+    def numbered(ids: pa.Array, keys: pa.Array) -> pa.Array:
+        return pa.array([r for r, _ in located(ids, keys)], pa.int32())
+
+    placed = narrow.select("doc_id", "tk", numbered("doc_id", "tk").alias("r"))
+    tops = placed.groupBy("r").agg(F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id", "tk")).alias("top")).collect()
+    first = {r["r"]: _key(r["top"]["doc_id"], bytes(r["top"]["tk"])) for r in tops}
+    filled = sorted(first)
+    before = {r: filled[i - 1] for i, r in enumerate(filled)}
+
+    @arrow_udf("array<struct<r:int,guest:int>>")
+    def dealt(ids: pa.Array, keys: pa.Array) -> pa.Array:
+        out = []
+        for r, k in located(ids, keys):
+            mine = {"r": r, "guest": 0}
+            out.append([mine, {"r": before[r], "guest": 1}] if first[r] == k else [mine])
+        return pa.array(out, pa.list_(pa.struct([("r", pa.int32()), ("guest", pa.int32())])))
+
+    return rows.withColumn("x", F.explode(dealt("doc_id", "tk"))).select(*rows.columns, "x.r", "x.guest"), len(bounds) + 1
+
+
+MADE = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+
+
+def _compared(doc_id, own: str, mine: list[int], after: str, theirs: list[int]) -> tuple:
+    third = len(own) // 3
+    edited = (own[: len(own) - third] + after[:third]).encode()
+    changed = signatures(edited)
+    return doc_id, len(own), sha256(edited).hexdigest(), packed(mine), packed(changed), likeness(mine, changed), likeness(mine, theirs)
+
+
+def _written(results: Iterator[tuple], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
+    """Batches of at most 2000 results or about 8 MB."""
+    schema = pa.schema([("doc_id", id_type), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64())])
+    out: list[tuple] = []
+    size = 0
+    for result in results:
+        out.append(result)
+        size += len(result[3]) + len(result[4])
+        if len(out) >= 2000 or size > 8 << 20:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            out, size = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+
+def _with_next(sorted_rows: DataFrame) -> DataFrame:
+    """Each row of (doc_id, text, r, guest) but the guests, compared with the row after it in its range."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batches = iter(batches)
+        head = next(batches, None)
+        if head is None:
+            return
+
+        def results() -> Iterator[tuple]:
+            held, where = None, None
+            for batch in _chained(head, batches):
+                for doc_id, text, r, guest in zip(*(batch.column(i) for i in range(4))):
+                    doc_id, text, r, guest = doc_id.as_py(), text.as_py(), r.as_py(), guest.as_py()
+                    if r != where:
+                        held, where = None, r
+                    elif held is None and guest:
+                        continue  # only the first of several equal guests counts
+                    found = signatures(text.encode())
+                    if held is not None:
+                        yield _compared(*held, text, found)
+                    held = None if guest else (doc_id, text, found)
+
+        yield from _written(results(), head.schema.field(0).type)
+
+    return sorted_rows.mapInArrow(run, f"doc_id {sorted_rows.schema['doc_id'].dataType.simpleString()}, {MADE}")
+
+
+def _chained(head: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    yield head
+    yield from rest
+
+
+def _with_equals(single: DataFrame) -> DataFrame:
+    """The rows of (doc_id, text, copies) as often as copies less one, compared with themselves: the last of equal rows has another next."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        where = None
-        out: list[tuple] = []
-        size = 0
         for batch in batches:
-            for doc_id, text, r, guest in zip(*(batch.column(i) for i in range(4))):
-                doc_id, text, r = doc_id.as_py(), text.as_py(), r.as_py()
-                if r != where:
-                    held, where = None, r
-                elif held is None and guest.as_py():
-                    continue  # only the first of several guests counts
-                found = signatures(text.encode())
-                if held is not None:
-                    out.append(judged(held, text, found))
-                    size += len(out[-1][3]) + len(out[-1][4])
-                held = None if guest.as_py() else (doc_id, text, found)
-                if len(out) >= 2000 or size > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
-                    out, size = [], 0
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            texts = [(i, t, signatures(t.encode())) for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            made = pa.Table.from_batches(_written((_compared(i, t, f, t, f) for i, t, f in texts), batch.schema.field(0).type))
+            yield from made.append_column("copies", batch.column(2)).to_batches()
+
+    found = single.mapInArrow(run, f"doc_id {single.schema['doc_id'].dataType.simpleString()}, {MADE}, copies long")
+    wanted = F.col("copies") - 1
+    parts = found.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((wanted - 1) / REPEATED))))
+    dealt = parts.repartition(parts.sparkSession.sparkContext.defaultParallelism)
+    again = F.sequence(F.lit(1).cast("long"), F.least(F.lit(REPEATED).cast("long"), wanted - F.col("part") * REPEATED))
+    return dealt.withColumn("again", F.explode(again)).drop("copies", "part", "again")
 
-    return sorted_rows.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+
+def edited_fingerprints(documents: DataFrame, ranges: int | None = None) -> DataFrame:
+    """For every document its fingerprint, that of its edited text, and how alike they and the next document's are.
+
+    The edited text has its last third replaced by the first as many characters (or all) of the next
+    document, descending doc_id (null last; equal ids by the text's hash), after the last the first; a
+    single document is its own next. Null texts are empty. Ids are whole numbers or strings. Texts are
+    shuffled once, each range of the order to a task of its own; the first row of each range is also sent
+    to the range before it, so the next text is at hand while a task holds two texts at a time. Rows that
+    repeat id and text more than HOT_ROWS times are counted before that: one of them is dealt, the others,
+    whose next is their equal, are compared once and repeated afterwards by many tasks.
+    """
+    ranges = ranges or max(8, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tk", text_key(F.col("text")))
+    narrow = cut_lineage(rows.select("doc_id", "tk"))
+    often = cut_lineage(narrow.groupBy("doc_id", "tk").agg(F.count("*").alias("copies")).where(F.col("copies") > HOT_ROWS))
+    hot, single = often.count(), None
+    if hot:
+        listed = often.select(F.col("doc_id").alias("hot_id"), F.col("tk").alias("hot_tk"), "copies")
+        listed = F.broadcast(listed) if hot <= BROADCAST_ROWS else listed
+        same = rows["doc_id"].eqNullSafe(F.col("hot_id")) & (rows["tk"] == F.col("hot_tk"))
+        single = cut_lineage(rows.join(listed, same).groupBy("doc_id", "tk", "copies").agg(F.min("text").alias("text")))
+        rows = rows.join(listed, same, "left_anti").unionByName(single.select("doc_id", "text", "tk"))
+        narrow = narrow.join(often, narrow["doc_id"].eqNullSafe(often["doc_id"]) & (narrow["tk"] == often["tk"]), "left_anti").unionByName(single.select("doc_id", "tk"))
+    dealt, count = _ranges(rows, narrow, ranges)
+    placed = dealt.repartitionById(count, F.col("r")).sortWithinPartitions("r", "guest", F.col("doc_id").desc_nulls_last(), F.desc("tk"))
+    out = _with_next(placed.select("doc_id", "text", "r", "guest"))
+    return out if single is None else out.unionByName(_with_equals(single.select("doc_id", "text", "copies")))
