@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mergewell.llm.common import free_name, join_small, text_key
 from mergewell.session import cut_lineage
 
 WINDOW = 5
@@ -14,108 +15,119 @@ OVERLAP = 0.8
 DRIFT = 8
 #: Tokens of a window that are no placeholders.
 MIN_LITERALS = 3
-#: More distinct benchmark windows than this are joined by a shuffle instead of a broadcast (about 40 bytes each).
+#: More distinct benchmark windows than this are joined by a shuffle instead of a broadcast (about 100 bytes each).
 BROADCAST_WINDOWS = 1_000_000
-NUMBER, NAME, UNIT = "<number>", "<name>", "<unit>"
+NUMBER, NAME, UNIT = "number", "name", "unit"
 #: Units that count as such after a number.
 UNITS = ("mm", "cm", "m", "km", "g", "kg", "mg", "t", "l", "ml", "s", "sec", "seconds", "min", "minutes", "h", "hours", "days", "weeks", "months", "years", "percent", "dollars", "euros", "usd", "eur", "inches", "feet", "miles", "pounds", "litres", "liters", "metres", "meters", "grams")
-TOKEN = r"([0-9]+(?:[.,:][0-9]+)*|[\p{L}\p{M}\p{N}]+)"
-
-
-def tokens(text: Column) -> Column:
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN), F.lit(1))
-
-
-def _is_number(token: Column) -> Column:
-    return (token >= "0") & (token < ":")
-
-
-def template(raw: Column, low: Column, named: bool = True) -> Column:
-    """Tokens with numbers, capitalised words (if named) and units that follow a number replaced by typed placeholders, others lower-cased; low holds the lower-cased tokens."""
-
-    def canonical(token: Column, i: Column) -> Column:
-        own = F.get(low, i)
-        made = F.when(_is_number(token), NUMBER).when((i > 0) & _is_number(F.get(raw, i - 1)) & own.isin(*UNITS), UNIT)
-        return (made.when(F.substring(own, 1, 1) != F.substring(token, 1, 1), NAME) if named else made).otherwise(own)
-
-    return F.transform(raw, canonical)
-
-
-def _starts(form: str, token: Column, i: Column) -> Column:
-    """Whether the token at position i is none of a run of adjacent numbers or names, or begins one."""
-    return ~((token == NUMBER) | (token == NAME)) | (i == 0) | (F.get(form, i - 1) != token)
+#: Characters of which tokens consist; a number written before or after others is a token of its own.
+IN = r"\p{L}\p{M}\p{N}"
+APART = f"[^{IN}]++"
+BEFORE = f"(?<![{IN}])"
+#: Adjacent capitalised words, and adjacent numbers, whatever stands between them. All loops are possessive: they never backtrack or recurse, however long a run is.
+NAMES = rf"(?=\p{{Lu}}){BEFORE}\p{{Lu}}[{IN}]*+(?:{APART}\p{{Lu}}[{IN}]*+)*+"
+NUMBERS = rf"(?=[0-9]){BEFORE}[0-9]++(?:{APART}[0-9]++)*+"
+#: Stand for the placeholders within a text, as characters of their own.
+MARKS = {NAME: "\x01", NUMBER: "\x02", UNIT: "\x03"}
+MARKED = rf"{IN}\x01\x02\x03"
+AFTER_NUMBER = rf"\x02 (?:{'|'.join(sorted(UNITS, key=len, reverse=True))})(?![^ ])"
+#: WINDOW tokens from each token on, which alone is consumed.
+GRAMS = rf"(?=((?:[^ ]++ ){{{WINDOW - 1}}}[^ ]++))[^ ]++ ?"
+
+
+def _clean(text: Column) -> Column:
+    """The text without characters that could pass for placeholders."""
+    return F.translate(F.coalesce(text, F.lit("")), "\x01\x02\x03", "   ")
+
+
+def canonical(body: Column) -> Column:
+    """The template of a clean text: its tokens in lower case, one space apart, with runs of names, runs of numbers and units after a number replaced by one typed placeholder each.
+
+    A text that has been lower-cased before has no names. Patterns run over the whole text, in the JVM.
+    """
+    named = F.regexp_replace(body, NAMES, f" {MARKS[NAME]} ")
+    counted = F.regexp_replace(named, NUMBERS, f" {MARKS[NUMBER]} ")
+    spaced = F.trim(F.regexp_replace(F.lower(counted), f"[^{MARKED}]++", " "))
+    return F.regexp_replace(spaced, AFTER_NUMBER, f"{MARKS[NUMBER]} {MARKS[UNIT]}")
 
 
-def _typed(table: DataFrame, *keys: str) -> DataFrame:
-    """(keys, raw, kind, form) from (keys, body): kind 0 names capitalised words, 1 folds case, so that copies match whatever their case."""
-    raw = table.select(*keys, tokens(F.col("body")).alias("raw"))
-    both = raw.select("*", F.transform("raw", F.lower).alias("low"))
-    kinds = [F.struct(F.lit(k).alias("kind"), template(F.col("raw"), F.col("low"), k == 0).alias("form")) for k in (0, 1)]
-    return both.select(*keys, "raw", F.explode(F.array(*kinds)).alias("x")).select(*keys, "raw", "x.kind", "x.form")
+def _kinds(table: DataFrame, *keys: str) -> DataFrame:
+    """(keys, kind, body) from (keys, body): kind 0 as it stands, kind 1 in lower case, so that copies match whatever their case."""
+    kinds = F.array(F.struct(F.lit(0).alias("kind"), F.col("body")), F.struct(F.lit(1).alias("kind"), F.lower("body").alias("body")))
+    return table.select(*keys, _clean(F.col("body")).alias("body")).select(*keys, F.explode(kinds).alias("x")).select(*keys, "x.kind", "x.body")
 
 
-def _forms(table: DataFrame, *keys: str) -> DataFrame:
-    """(keys, kind, form) from (keys, body). Adjacent numbers, and adjacent names, are one placeholder."""
-    return _typed(table, *keys).select(*keys, "kind", F.filter("form", lambda t, i: _starts("form", t, i)).alias("form"))
+def _grams(table: DataFrame, *keys: str) -> DataFrame:
+    """(keys, kind, p, gram) for the windows, by position, of the texts of (keys, kind, body)."""
+    return table.select(*keys, "kind", F.posexplode(F.regexp_extract_all(canonical(F.col("body")), F.lit(GRAMS), F.lit(1))).alias("p", "gram"))
 
 
 def _runs(table: DataFrame, *keys: str) -> DataFrame:
-    """(keys, kind, runs) from (keys, body): the tokens, in an array, that each position of the form stands for."""
-    begins = F.filter(F.transform("form", lambda t, i: F.when(_starts("form", t, i), i)), lambda i: i.isNotNull())
-    placed = _typed(table, *keys).select(*keys, "raw", "kind", begins.alias("begins"))
-    runs = F.transform("begins", lambda b, i: F.slice("raw", b + 1, F.coalesce(F.get("begins", i + 1), F.size("raw")) - b))
-    return placed.select(*keys, "kind", runs.alias("runs"))
+    """(keys, kind, runs): the words of the text, in an array, that each position of the template stands for."""
+    words = F.regexp_extract_all(F.col("body"), F.lit(f"{NAMES}|{NUMBERS}|[{IN}]++"), F.lit(0))
+    return table.select(*keys, "kind", F.transform(words, lambda w: F.split(F.regexp_replace(w, APART, " "), " ")).alias("runs"))
 
 
-def _hashes(column: str) -> Column:
-    """The hash of each window of the token array, by position; shorter arrays have none."""
-    n = F.size(column)
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.xxhash64("kind", F.slice(column, i, WINDOW)))
+def _word() -> Column:
+    """Hash of a window with its kind, for joins."""
+    return F.xxhash64("kind", "gram")
 
 
-def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(item, kind, p, w) for each window with enough literal tokens, and (item, kind, windows, slots) for each form of an item that has any.
+def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(item, kind, p, gram) for each window with enough literal tokens; (item, kind, windows, slots) for each form of an item that has any; (item, whole) for items that have none at all.
 
-    slots are (p, value) of the placeholders, a value being the tokens of its run. Items that repeat exactly count once.
+    slots are (p, value, mark, lone) of the placeholders, a value being the words of its run; lone ones
+    lie in no window with enough literal tokens. Items that repeat exactly count once; items without a
+    token are none.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(text).alias("body")).where("item_id is not null").distinct()
-    items = items.select(F.struct("item_id", F.xxhash64("body").alias("x")).alias("item"), "body")
-    forms = _forms(items, "item")
-    each = forms.select("item", "kind", F.posexplode(_hashes("form")).alias("p", "w"), "form")
-    literal = F.size(F.filter(F.slice("form", F.col("p") + 1, WINDOW), lambda t: ~t.isin(NUMBER, NAME, UNIT)))
+    items = _kinds(items.select(F.struct("item_id", text_key(F.col("body")).alias("x")).alias("item"), "body"), "item")
     rows = 128 * benchmark.count()
-    windows = cut_lineage(each.where(literal >= MIN_LITERALS).select("item", "kind", "p", "w"), rows)
-    slots = F.filter(F.transform("form", lambda t, i: F.when(t.isin(NUMBER, NAME, UNIT), F.struct(i.alias("p"), F.get("runs", i).alias("value")))), lambda s: s.isNotNull())
-    counts = windows.groupBy("item", "kind").agg(F.count("*").alias("windows"))
-    valued = forms.join(_runs(items, "item"), ["item", "kind"]).select("item", "kind", slots.alias("slots"))
-    return windows, cut_lineage(valued.join(counts, ["item", "kind"]), rows)
+    literal = F.size(F.filter(F.split("gram", " "), lambda t: ~t.isin(*MARKS.values())))
+    windows = cut_lineage(_grams(items, "item").where(literal >= MIN_LITERALS), rows)
+    counts = windows.groupBy("item", "kind").agg(F.count("*").alias("windows"), F.collect_list("p").alias("at"))
+    forms = items.select("item", "kind", F.split(canonical(F.col("body")), " ").alias("form")).join(_runs(items, "item"), ["item", "kind"])
+    lone = lambda i: ~F.exists("at", lambda p: (p <= i) & (i < p + WINDOW))
+    slots = F.filter(F.transform("form", lambda t, i: F.when(t.isin(*MARKS.values()), F.struct(i.alias("p"), F.get("runs", i).alias("value"), t.alias("mark"), lone(i).alias("lone")))), lambda s: s.isNotNull())
+    sized = cut_lineage(forms.join(counts, ["item", "kind"]).select("item", "kind", "windows", slots.alias("slots")), rows)
+    short = items.where("kind = 1").join(windows.select("item").distinct(), "item", "left_anti")
+    whole = short.select("item", _whole(F.col("body")).alias("whole")).where("whole <> ''")
+    return windows, sized, cut_lineage(whole, rows)
+
+
+def _whole(lowered: Column) -> Column:
+    """All tokens of a lower-cased text, one space apart."""
+    return F.trim(F.regexp_replace(lowered, APART, " "))
 
 
 def _slot_pairs(mine: Column, theirs: Column) -> Column:
-    """Values that must stand for each other: token by token where both runs are as long, else run by run."""
+    """Values that must stand for each other: word by word where both runs are as long, else run by run."""
     whole = F.array(F.struct(F.array_join(mine, " ").alias("mine"), F.array_join(theirs, " ").alias("theirs")))
     return F.when(F.size(mine) == F.size(theirs), F.zip_with(mine, theirs, lambda a, b: F.struct(a.alias("mine"), b.alias("theirs")))).otherwise(whole)
 
 
 def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """(th, item_id, matched, windows, same_slots): texts, by their hash, that hold OVERLAP of an item's windows in one alignment with consistent slots.
-
-    Windows of both sides are joined by hash, never by pairs of documents and items. Matches are counted
-    per text, item, form and distance between their positions, up to DRIFT apart, so scattered windows do
-    not add up. Each slot value of the item must stand for one value in the text throughout the
-    alignment, where slots lie at the distance of the matched windows round them; an alignment of one
-    distance alone is tried as well. same_slots tells verbatim copies from re-parameterised ones. Texts
-    of fewer than five tokens match nothing.
+    """(th, item_id, matched, windows, same_slots): texts, by their identity, that hold OVERLAP of an item's windows in one alignment with consistent slots.
+
+    Windows of both sides are joined by hash and compared, never by pairs of documents and items. Matches
+    are counted per text, item, form and distance between their positions, up to DRIFT apart, so
+    scattered windows do not add up. Each slot value of the item that lies in a matched window must
+    stand for one value in the text throughout the alignment. Slots of windows that did not match do not
+    count; those that lie in no window at all do where the text has the same placeholder at their place. An alignment
+    of one distance alone is tried as well. Items too short for a window with MIN_LITERALS literal
+    tokens match texts of exactly their tokens, in any case. same_slots tells verbatim copies from
+    re-parameterised ones. Null texts and texts without tokens match nothing, copies of a text count
+    once, and empty tables give an empty result.
     """
-    windows, items = benchmark_windows(benchmark)
-    wanted, few = windows.select("w", "item", "kind", "p"), windows.count() <= BROADCAST_WINDOWS
+    windows, items, short = benchmark_windows(benchmark)
+    wanted, few = windows.select(_word().alias("w"), "item", "kind", "p", F.col("gram").alias("same")), windows.count() <= BROADCAST_WINDOWS
     sized = items.select("item", "kind", "windows")
     if few:
-        wanted, sized = F.broadcast(wanted), F.broadcast(sized)
-    bodies = documents.where(F.col(text).isNotNull()).select(F.xxhash64(text).alias("th"), F.col(text).alias("body"))
-    placed = _forms(bodies, "th").select("th", F.posexplode(_hashes("form")).alias("q", "w"))
-    met = placed.join(wanted, "w").groupBy("th", "item", "kind", "p").agg(F.collect_set(F.col("q") - F.col("p")).alias("shifts"))
+        wanted, sized, short = F.broadcast(wanted), F.broadcast(sized), F.broadcast(short)
+    bodies = documents.where(F.col(text).isNotNull()).select(F.col(text).alias("body"))
+    keyed = bodies.select(text_key(F.col("body")).alias("th"), "body")
+    placed = _grams(_kinds(keyed, "th"), "th").select("th", "kind", F.col("p").alias("q"), "gram")
+    met = placed.withColumn("w", _word()).drop("kind").join(wanted, "w").where("gram = same").groupBy("th", "item", "kind", "p").agg(F.collect_set(F.col("q") - F.col("p")).alias("shifts"))
     held = met.groupBy("th", "item", "kind").agg(F.count("*").alias("found"), F.collect_list(F.struct("p", "shifts")).alias("places"))
     possible = cut_lineage(held.join(sized, ["item", "kind"]).where(F.col("found") >= F.col("windows") * OVERLAP).select("th", "item", "kind", "places", "windows"))
     places = possible.select("th", "item", "kind", "windows", F.explode("places").alias("x")).select("th", "item", "kind", "windows", "x.p", F.explode("x.shifts").alias("shift"))
@@ -126,34 +138,38 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "
     enough = spread.groupBy("th", "item", "kind", "windows", "base", "drift").agg(F.count("*").alias("matched"), F.array_sort(F.collect_list(F.struct("p", F.col("best.shift").alias("shift")))).alias("path"))
     enough = cut_lineage(enough.where(F.col("matched") >= F.col("windows") * OVERLAP).dropDuplicates(["th", "item", "kind", "path"]))
     needed = enough.select("th").distinct()
-    copied = _runs(bodies.join(needed, "th", "left_semi").dropDuplicates(["th"]), "th")
+    found_texts = _kinds(keyed.join(needed, "th", "left_semi").groupBy("th").agg(F.min("body").alias("body")), "th")
+    copied = _runs(found_texts, "th").join(found_texts.select("th", "kind", F.split(canonical(F.col("body")), " ").alias("form")), ["th", "kind"])
     sided = enough.join(items.select("item", "kind", "slots"), ["item", "kind"]).join(copied, ["th", "kind"])
-    slots = sided.select("th", "item", "kind", "base", "drift", "matched", "windows", "path", "runs", F.explode_outer("slots").alias("slot"))
+    slots = sided.select("th", "item", "kind", "base", "drift", "matched", "windows", "path", "runs", "form", F.explode_outer("slots").alias("slot"))
+    covering = F.get(F.filter("path", lambda x: (x["p"] <= F.col("slot.p")) & (F.col("slot.p") < x["p"] + WINDOW)), F.lit(0))
     behind = F.filter("path", lambda x: x["p"] <= F.col("slot.p"))
-    last = F.get(behind, F.size(behind) - 1)
-    then = F.get(F.filter("path", lambda x: x["p"] + (WINDOW - 1) >= F.col("slot.p")), F.lit(0))
-    # a slot outside all matched windows, between two distances, has no certain place in the text
-    nearest = F.when(then["p"] <= F.col("slot.p"), then["shift"]).when(last.isNull() | then.isNull() | (last["shift"] == then["shift"]), F.coalesce(then["shift"], last["shift"]))
-    theirs = F.get("runs", (F.col("slot.p") + nearest).cast("int"))
+    beside = F.coalesce(F.get(behind, F.size(behind) - 1), F.get("path", F.lit(0)))
+    by_window, by_place = (F.col("slot.p") + covering["shift"]).cast("int"), (F.col("slot.p") + beside["shift"]).cast("int")
+    theirs = F.when(covering.isNotNull(), F.get("runs", by_window)).when(F.col("slot.lone") & (F.get("form", by_place) == F.col("slot.mark")), F.get("runs", by_place))
     paired = slots.withColumn("theirs", theirs).withColumn("pairs", F.when(F.col("slot").isNotNull() & F.col("theirs").isNotNull(), _slot_pairs(F.col("slot.value"), F.col("theirs"))))
     gathered = paired.groupBy("th", "item", "kind", "base", "drift", "matched", "windows").agg(F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
     consistent = gathered.where(F.size(F.array_distinct(F.col("pairs.mine"))) == F.size("pairs"))
     verdict = consistent.withColumn("same", F.forall("pairs", lambda s: s["mine"] == s["theirs"]))
-    return verdict.groupBy("th", F.col("item.item_id").alias("item_id")).agg(F.max("matched").alias("matched"), F.max("windows").alias("windows"), F.max("same").alias("same_slots"))
+    found = verdict.groupBy("th", F.col("item.item_id").alias("item_id")).agg(F.max("matched").alias("matched"), F.max("windows").alias("windows"), F.max("same").alias("same_slots"))
+    if short.isEmpty():
+        return found
+    exact = keyed.select("th", _whole(F.lower(_clean(F.col("body")))).alias("whole")).join(short, "whole").select("th", F.col("item.item_id").alias("item_id")).distinct()
+    exact = exact.select("th", "item_id", F.lit(1).cast("long").alias("matched"), F.lit(1).cast("long").alias("windows"), F.lit(True).alias("same_slots"))
+    return found.unionByName(exact.join(found.select("th", "item_id"), ["th", "item_id"], "left_anti"))
 
 
 def decontamination_report(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, contaminated, n_items, first_item) for every document; null and clean texts hold no item."""
+    """(doc_id, contaminated, n_items, first_item) for every row of documents; null and clean texts hold no item, repeated rows are reported as often as they come."""
     found = contaminated_texts(documents, benchmark)
     by_text = cut_lineage(found.groupBy("th").agg(F.count("*").alias("n_items"), F.min("item_id").alias("first_item")))
-    ids = documents.select("doc_id", F.xxhash64("text").alias("th"), F.col("text").isNotNull().alias("some"))
-    out = ids.join(by_text, "th", "left")
-    hit = F.col("n_items").isNotNull() & F.col("some")
+    out = join_small(documents.select("doc_id", text_key(F.col("text")).alias("th")), by_text, "th")
+    hit = F.col("n_items").isNotNull()
     return out.select("doc_id", hit.alias("contaminated"), F.when(hit, F.col("n_items")).otherwise(0).cast("long").alias("n_items"), F.when(hit, F.col("first_item")).alias("first_item"))
 
 
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """documents without those that hold a benchmark item; all other rows and all columns stay as they are."""
-    found = cut_lineage(contaminated_texts(documents, benchmark, text).select(F.col("th").alias("__found")).distinct())
-    keyed = documents.withColumn("__th", F.when(F.col(text).isNotNull(), F.xxhash64(text)))
-    return keyed.join(found, keyed["__th"] == found["__found"], "left_anti").select(*documents.columns)
+    """documents without those that hold a benchmark item; all other rows and all columns, whatever their names, stay as they are. Null and empty texts stay."""
+    key = free_name(documents, "th")
+    found = cut_lineage(contaminated_texts(documents, benchmark, text).select(F.col("th").alias(key)).distinct())
+    return join_small(documents.withColumn(key, text_key(F.col(text))), found, key, "left_anti").select(*documents.columns)
