@@ -26,13 +26,18 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.when(F.instr(url, "://") > 0, F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^?#]*)", 1)).otherwise(""), F.lit(""))
 
 
-def suffix_of(host: Column) -> Column:
+def bare(host: Column) -> Column:
+    """The host without user and port, whose reputation is one."""
+    return F.regexp_replace(F.substring_index(host, "@", -1), ":[0-9]*$", "")
+
+
+def suffix_of(host: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> Column:
     two = F.substring_index(host, ".", -2)
-    return F.when(two.isin(*TWO_PART_SUFFIXES), two).otherwise(F.substring_index(host, ".", -1))
+    return F.when(two.isin(*suffixes), two).otherwise(F.substring_index(host, ".", -1))
 
 
-def domain_of(host: Column) -> Column:
-    return F.when(F.substring_index(host, ".", -2).isin(*TWO_PART_SUFFIXES), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
+def domain_of(host: Column, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> Column:
+    return F.when(F.substring_index(host, ".", -2).isin(*suffixes), F.substring_index(host, ".", -3)).otherwise(F.substring_index(host, ".", -2))
 
 
 def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
@@ -57,19 +62,20 @@ def _weight(groups: DataFrame, rate: float) -> float:
     return WEIGHT_HIGH if between <= 0 else min(WEIGHT_HIGH, max(WEIGHT_LOW, noise / between - 1))
 
 
-def host_reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(host, bad_rate, lower, blocked) for every host of pages.
+def host_reputation(pages: DataFrame, labels: DataFrame, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> DataFrame:
+    """(host, bad_rate, lower, blocked) for every host of pages, without user and port; suffixes are those of two parts.
 
     A labelled page is bad if it is toxic or of low quality; labels meet pages by id. Bad rates shrink
     from all pages to the suffix, the registered domain and the host: each level's posterior mean is the
     prior mean of the next. A host is blocked if the posterior's mean less DEVIATIONS standard deviations
     reaches BLOCK_FROM, so hosts without evidence follow their domain and are never blocked on a guess.
-    Repeated labels of an id count by their mean; null labels are no evidence.
+    Repeated labels of an id count by their mean, repeated pages as often as they come; a label with a
+    null id, quality or toxicity is no evidence. Empty tables give an empty result or block nothing.
     """
-    outcome = labels.select("doc_id", F.greatest(F.col("toxic"), 1 - F.col("quality")).cast("double").alias("y")).where("doc_id is not null and y is not null").groupBy("doc_id").agg(F.avg("y").alias("y"))
-    named = pages.select("page_id", host_of(F.col("url")).alias("host")).join(outcome, F.col("page_id") == F.col("doc_id"), "left")
+    outcome = labels.select("doc_id", F.greatest(F.col("toxic"), 1 - F.col("quality")).cast("double").alias("y"), "toxic", "quality").where("doc_id is not null and toxic is not null and quality is not null").groupBy("doc_id").agg(F.avg("y").alias("y"))
+    named = pages.select("page_id", bare(host_of(F.col("url"))).alias("host")).join(outcome, F.col("page_id") == F.col("doc_id"), "left")
     hosts = named.groupBy("host").agg(F.count("y").alias("n"), F.coalesce(F.sum("y"), F.lit(0.0)).alias("bad"))
-    hosts = cut_lineage(hosts.withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))))
+    hosts = cut_lineage(hosts.withColumn("domain", domain_of(F.col("host"), suffixes)).withColumn("suffix", suffix_of(F.col("host"), suffixes)))
     known = hosts.count()
     domains = cut_lineage(hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), known)
     suffixes = cut_lineage(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")), known)
@@ -87,15 +93,15 @@ def host_reputation(pages: DataFrame, labels: DataFrame) -> DataFrame:
     return judged.withColumn("lower", F.col("bad_rate") - DEVIATIONS * deviation).select("host", "bad_rate", "lower", (F.col("lower") >= BLOCK_FROM).alias("blocked"))
 
 
-def judge_pages(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
+def judge_pages(pages: DataFrame, labels: DataFrame, rules=RULES, suffixes: tuple[str, ...] = TWO_PART_SUFFIXES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every page: a rule's verdict, else block for blocked hosts and allow for the rest.
 
     A null url, or one without ://, has an empty host and path, fits no rule and is judged like the
     other pages without a host.
     """
-    blocked = cut_lineage(host_reputation(pages, labels).where("blocked").select(F.col("host").alias("bad_host")))
+    blocked = cut_lineage(host_reputation(pages, labels, suffixes).where("blocked").select(F.col("host").alias("bad_host")))
     parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
     name, says = matched_rule(F.col("host"), F.col("path"), rules)
     ruled = parts.withColumn("rule", name).withColumn("says", says)
     own = F.when(F.col("bad_host").isNotNull(), "block").otherwise("allow")
-    return ruled.join(blocked, ruled["host"] == blocked["bad_host"], "left").select("page_id", "host", "path", "rule", F.coalesce("says", own).alias("verdict"))
+    return ruled.join(blocked, bare(ruled["host"]) == blocked["bad_host"], "left").select("page_id", "host", "path", "rule", F.coalesce("says", own).alias("verdict"))

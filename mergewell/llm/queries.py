@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mergewell.llm import chat, decontaminate, hosts, line_templates, near_dup, quality, sharding, spots, tokens, toxicity
 from mergewell.llm.common import remainder
+from mergewell.session import spread
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -20,7 +21,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _scored(spark: SparkSession, sf_dir: str, train, threshold: float) -> DataFrame:
@@ -165,7 +166,7 @@ with part as (
 ), outcome as (
   select doc_id, avg(greatest(toxic, 1 - quality)::double) as y from labels where doc_id is not null and toxic is not null and quality is not null group by doc_id
 ), named as (
-  select host, y, string_split(host, '.') as bits from part left join outcome on page_id = doc_id
+  select bare as host, y, string_split(bare, '.') as bits from (select *, regexp_replace(split_part(host, '@', -1), ':[0-9]*$', '') as bare from part) left join outcome on page_id = doc_id
 ), host as (
   select host, count(y) as n, coalesce(sum(y), 0.0) as bad, any_value(bits) as bits, array_to_string(any_value(bits)[-2:], '.') as two from named group by host
 ), cut as (
@@ -183,7 +184,7 @@ ruled as (
   from part join (values {rules}) r(rh, rp, says) on (host = rh or ends_with(host, '.' || rh)) and starts_with(path, rp) group by page_id
 )
 select part.page_id, part.host, part.path, rule, coalesce(says, case when blocked.host is not null then 'block' else 'allow' end) as verdict
-from part left join ruled using (page_id) left join blocked on part.host = blocked.host
+from part left join ruled using (page_id) left join blocked on regexp_replace(split_part(part.host, '@', -1), ':[0-9]*$', '') = blocked.host
 """.replace("select host, n, wh, (cut", "select host, wh, (cut")
 
 
