@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import arrow_udf
 
-from mergewell.llm.common import text_bytes
+from mergewell.llm.common import free_name, join_small, text_bytes, text_key
 from mergewell.operators.components import connected_components
 from mergewell.session import cut_lineage, cut_scan
 
@@ -127,7 +127,7 @@ def near_duplicates(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
     classes = distinct.join(components, distinct["fp"] == components["node"], "left").select("fp", "first", F.coalesce("component", "fp").alias("c"))
     smallest = classes.groupBy("c").agg(F.min("first").alias("component_id"))
     named = cut_lineage(classes.join(smallest, "c").select("fp", "component_id"), rows)
-    return marked.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    return join_small(marked, named, "fp").select("doc_id", "fp", "component_id")
 
 
 #: Texts that share this much of their distinct shingles are near copies for keep_first.
@@ -158,16 +158,16 @@ def bands_of(shingles: np.ndarray) -> np.ndarray:
 
 
 def _signed(documents: DataFrame, width: int) -> DataFrame:
-    """(k, x.s, x.n, x.bands): the hash of each text's shingle set, its size and its keys."""
+    """(k, x.s, x.n, x.bands): the 128-bit hash of each text's shingle set, its size and its keys."""
 
-    @arrow_udf("struct<s:long,n:long,bands:array<long>>")
+    @arrow_udf("struct<s:binary,n:long,bands:array<long>>")
     def signed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
             sets = [shingles_of(t, width) for t in text_bytes(part)]
             bands = np.array([bands_of(x) for x in sets], np.uint64).reshape(-1)
-            hashes = np.array([xxhash.xxh64_intdigest(x.tobytes()) for x in sets], np.uint64)
+            hashes = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bands) + 1, BANDS), pa.int32()), pa.array(bands.view(np.int64)))
-            yield pa.StructArray.from_arrays([pa.array(hashes.view(np.int64)), pa.array([len(x) for x in sets], pa.int64()), lists], ["s", "n", "bands"])
+            yield pa.StructArray.from_arrays([pa.array(hashes, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), lists], ["s", "n", "bands"])
 
     return documents.withColumn("x", signed("text")).select("k", "x.*")
 
@@ -234,16 +234,18 @@ def similar_classes(documents: DataFrame, width: int = 5) -> DataFrame:
 
 
 def keep_first(documents: DataFrame, width: int = 3) -> DataFrame:
-    """One document of each class of near copies: the one of the smallest id, of equal ids the one whose text hashes lowest.
+    """One document of each class of near copies: the one of the smallest id, of equal ids the one whose text's hash is smallest.
 
     Near copies share JACCARD of their distinct shingles, and so do the copies of copies; SimHash and its
-    three bits belong to near_duplicates alone. All columns stay as they are. Documents with a null id
-    are compared like the others, and one stays where all ids of a class are null.
+    three bits belong to near_duplicates alone. Null and empty texts are near copies of one another.
+    Documents with a null id are compared like the others and come last; one stays where all ids of a
+    class are null. Rows that repeat id and text count once. All columns, whatever their names, stay as
+    they are; an empty table stays empty.
     """
-    keyed = documents.withColumn("__t", F.xxhash64(F.coalesce("text", F.lit("")), F.col("text").isNull()))
-    found = similar_classes(keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col("__t").alias("t")).alias("k"), "text"), width)
-    kept = found.where("k = c").select("k").distinct()
-    kept = kept.select(F.col("k.doc_id").alias("__id"), F.col("k.t").alias("__kept"))
-    joined = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept["__id"]) & (keyed["__t"] == kept["__kept"]))
-    first = joined.dropDuplicates(["__id", "__t"])
-    return first.select(*documents.columns)
+    text_id, some, chosen, row = (free_name(documents, n) for n in ("text_id", "has_id", "chosen", "row"))
+    identity = F.coalesce(text_key(F.col("text")), F.lit(b""))
+    keyed = documents.withColumn(text_id, identity)
+    found = similar_classes(keyed.select(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", F.col(text_id).alias("t")).alias("k"), "text"), width)
+    kept = cut_lineage(found.where("k = c").select(F.col("k.none").alias(some), F.col("k.doc_id").alias(chosen), F.col("k.t").alias(row)).distinct())
+    matched = keyed.join(kept, keyed["doc_id"].eqNullSafe(kept[chosen]) & (keyed[text_id] == kept[row]))
+    return matched.dropDuplicates([chosen, text_id]).select(*documents.columns)

@@ -106,10 +106,24 @@ def test_shards_of_odd_rows(odd, empty):
 
 def test_histogram_counts_exactly(spark):
     keys = sharding.measured(spark.createDataFrame(rows([prose(i) for i in range(100)]), SCHEMA))
-    known = sorted((r["k1"], r["k2"], r["size"]) for r in keys.collect())
-    probes = [k[:2] for k in known[10::20]]
+    known = sorted((r["k1"], r["k2"], r["k3"], r["size"]) for r in keys.collect())
+    probes = [k[:3] for k in known[10::20]]
     sizes, counts = sharding.histogram(keys, probes)
-    assert list(counts[:-1]) == [10, 30, 50, 70, 90] and list(sizes[:-1]) == [sum(k[2] for k in known[:n]) for n in (10, 30, 50, 70, 90)]
+    assert list(counts[:-1]) == [10, 30, 50, 70, 90] and list(sizes[:-1]) == [sum(k[3] for k in known[:n]) for n in (10, 30, 50, 70, 90)]
+
+
+def test_splitters_equal_plain_cuts_and_repeats_are_divided(spark):
+    docs = spark.createDataFrame(rows([prose(i, 5 + i % 90) for i in range(400)]), SCHEMA).repartition(3)
+    keys = sharding.cut_lineage(sharding.measured(docs))
+    known = sorted((r["k1"], r["k2"], r["k3"], r["size"]) for r in keys.collect())
+    below = np.cumsum([0] + [k[3] for k in known])
+    for j, key in enumerate(sharding.find_splitters(keys, 8), 1):
+        at = [k[:3] for k in known].index(key)
+        assert abs(below[at] - below[-1] * j / 8) <= np.abs(below - below[-1] * j / 8).min() + sharding.TOLERANCE * below[-1] / 8
+    equal = spark.createDataFrame(rows(["one text of some length"] * 1000 + ["x"] * 100, [7] * 1000 + list(range(100))), SCHEMA)
+    got = sharding.shard(equal).toPandas()
+    size = got.groupby("shard")["size"].sum()
+    assert len(size) == 16 and size.max() - size.min() <= 48 and all(sorted(s.slot) == list(range(len(s))) for _, s in got.groupby("shard"))
 
 
 # 4
@@ -151,6 +165,27 @@ def test_items_match_with_longer_slots_and_inserted_words(spark):
     assert flagged(spark, ITEM, texts) == [True, True, False, False]
 
 
+def test_only_slots_of_matched_windows_count(spark):
+    item = "take 12 drops of the oil each day " + prose(8, 30) + " and end with 12 steps"
+    copies = [item.replace("with 12 steps", "with ten more"), item.replace("with 12 steps", "and nothing else"), item.replace("12", "40")]
+    assert flagged(spark, item, [prose(1) + " " + c + " " + prose(2) for c in copies]) == [True, True, True]
+
+
+def test_short_items_match_whole_texts_only(spark):
+    assert flagged(spark, "What is two?", ["what IS two", "I ask what is two", None, "", "what is three"]) == [True, False, False, False, False]
+    assert flagged(spark, "Paris Is The Capital Of France And Lyon Is Not", [prose(3) + " Paris Is The Capital Of France And Lyon Is Not " + prose(4), prose(5)]) == [True, False]
+    assert flagged(spark, "", ["", "a"]) == [False, False]
+
+
+def test_recall_of_generated_variants(spark):
+    rng, names, texts = random.Random(6), ["Clara", "Dario", "Ernst", "Fatima Rossi", "Goran"], []
+    for _ in range(40):
+        a, b = rng.sample(names, 2)
+        text = ITEM.replace("Anna", a).replace("Bruno", b).replace("12", str(rng.randint(20, 9000))).replace("5 kg", f"{rng.randint(2, 19)} kg")
+        texts.append(prose(rng.randint(0, 99)) + " " + text + " " + prose(rng.randint(0, 99)))
+    assert np.mean(flagged(spark, ITEM, texts)) >= 0.95
+
+
 def test_decontamination_of_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, prose(3))], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
