@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mergewell.llm.common import free_name, join_small, text_key
-from mergewell.session import cut_lineage
+from mergewell.session import cut_lineage, spread
 
 WINDOW = 5
 #: Share of an item's windows that one alignment with a document must hold.
@@ -95,6 +95,50 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
     return windows, sized, cut_lineage(whole, rows)
 
 
+#: Sets of an item's windows of which a text that holds OVERLAP of them cannot miss any.
+PARTS = 4
+
+
+def _anchors(windows: DataFrame) -> DataFrame:
+    """(item, kind, parts, part, a): hashes of words of which a text that matches an item has one of every part.
+
+    Each window stands for its longest literal token. Of the windows whose tokens are longest, and so
+    rarest, up to PARTS sets are made, each of one more window than a match may lack: it has a window of
+    every set.
+    """
+    form = Window.partitionBy("item", "kind")
+    literal = F.filter(F.split("gram", " "), lambda t: ~t.isin(*MARKS.values()))
+    longest = F.array_max(F.transform(literal, lambda t: F.struct(F.length(t).alias("length"), t.alias("token"))))
+    spare = F.expr(f"n - (n * {round(OVERLAP * 10)} + 9) div 10")
+    sized = windows.select("item", "kind", "p", longest.alias("longest"), F.count("*").over(form).alias("n")).withColumn("size", spare + 1)
+    parts = F.least(F.lit(PARTS).cast("long"), F.expr("n div size"))
+    best = sized.withColumn("parts", parts).withColumn("rank", F.row_number().over(form.orderBy(F.desc("longest"), "p"))).where(F.col("rank") <= F.col("parts") * F.col("size"))
+    placed = best.withColumn("part", F.floor((F.row_number().over(form.orderBy("p")) - 1) / F.col("size")))
+    return placed.select("item", "kind", "parts", "part", F.xxhash64("longest.token").alias("a")).distinct()
+
+
+def _possible_texts(keyed: DataFrame, windows: DataFrame, rows: int, few: bool) -> DataFrame:
+    """(th, kind, body), clean, once for each text of (th, body) and form that may hold an item; none that matches is missing.
+
+    All texts are read for single words: a text must have an anchor of every part of an item. The words
+    of those that do are then held against all windows of the item: no more windows than a match may
+    lack can have a word that the text lacks. Only what is left is cut into windows.
+    """
+    anchors = cut_lineage(_anchors(windows), rows)
+    words = F.array_distinct(F.split(F.regexp_replace(F.lower(_clean(F.col("body"))), NUMBERS, " "), APART))
+    met = keyed.select("th", F.explode(words).alias("word")).select("th", F.xxhash64("word").alias("a")).join(F.broadcast(anchors) if few else anchors, "a")
+    counted = met.groupBy("th", "item", "kind", "parts").agg(F.size(F.collect_set("part")).alias("found"))
+    pairs = cut_lineage(counted.where(F.col("found") == F.col("parts")).select("th", "item", "kind"))
+    texts = cut_lineage(join_small(keyed, cut_lineage(pairs.select("th").distinct()), "th", "left_semi").groupBy("th").agg(F.min("body").alias("body")))
+    literal = F.filter(F.split("gram", " "), lambda t: ~t.isin(*MARKS.values()))
+    forms = windows.groupBy("item", "kind").agg(F.collect_list(literal).alias("held"))
+    sided = spread(pairs).join(texts.select("th", words.alias("words")), "th").join(forms, ["item", "kind"])
+    missing = F.array(F.array_except(F.array_distinct(F.flatten("held")), "words"))
+    lacking = F.get(F.transform(missing, lambda m: F.size(F.filter("held", lambda w: F.arrays_overlap(w, m)))), F.lit(0))
+    wanted = cut_lineage(sided.where(F.size("held") - lacking >= F.size("held") * OVERLAP).select("th", "kind").distinct())
+    return spread(cut_lineage(_kinds(texts, "th").join(wanted, ["th", "kind"], "left_semi")))
+
+
 def _whole(lowered: Column) -> Column:
     """All tokens of a lower-cased text, one space apart."""
     return F.trim(F.regexp_replace(lowered, APART, " "))
@@ -109,7 +153,8 @@ def _slot_pairs(mine: Column, theirs: Column) -> Column:
 def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """(th, item_id, matched, windows, same_slots): texts, by their identity, that hold OVERLAP of an item's windows in one alignment with consistent slots.
 
-    Windows of both sides are joined by hash and compared, never by pairs of documents and items. Matches
+    Texts that lack a word of every part of each item are left out first, which loses no match. Windows
+    of both sides are joined by hash and compared, never by pairs of documents and items. Matches
     are counted per text, item, form and distance between their positions, up to DRIFT apart, so
     scattered windows do not add up. Each slot value of the item that lies in a matched window must
     stand for one value in the text throughout the alignment. Slots of windows that did not match do not
@@ -126,7 +171,8 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "
         wanted, sized, short = F.broadcast(wanted), F.broadcast(sized), F.broadcast(short)
     bodies = documents.where(F.col(text).isNotNull()).select(F.col(text).alias("body"))
     keyed = bodies.select(text_key(F.col("body")).alias("th"), "body")
-    placed = _grams(_kinds(keyed, "th"), "th").select("th", "kind", F.col("p").alias("q"), "gram")
+    possible_texts = _possible_texts(keyed, windows, 128 * benchmark.count(), few)
+    placed = _grams(possible_texts, "th").select("th", "kind", F.col("p").alias("q"), "gram")
     met = placed.withColumn("w", _word()).drop("kind").join(wanted, "w").where("gram = same").groupBy("th", "item", "kind", "p").agg(F.collect_set(F.col("q") - F.col("p")).alias("shifts"))
     held = met.groupBy("th", "item", "kind").agg(F.count("*").alias("found"), F.collect_list(F.struct("p", "shifts")).alias("places"))
     possible = cut_lineage(held.join(sized, ["item", "kind"]).where(F.col("found") >= F.col("windows") * OVERLAP).select("th", "item", "kind", "places", "windows"))
@@ -138,7 +184,7 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "
     enough = spread.groupBy("th", "item", "kind", "windows", "base", "drift").agg(F.count("*").alias("matched"), F.array_sort(F.collect_list(F.struct("p", F.col("best.shift").alias("shift")))).alias("path"))
     enough = cut_lineage(enough.where(F.col("matched") >= F.col("windows") * OVERLAP).dropDuplicates(["th", "item", "kind", "path"]))
     needed = enough.select("th").distinct()
-    found_texts = _kinds(keyed.join(needed, "th", "left_semi").groupBy("th").agg(F.min("body").alias("body")), "th")
+    found_texts = possible_texts.join(needed, "th", "left_semi")
     copied = _runs(found_texts, "th").join(found_texts.select("th", "kind", F.split(canonical(F.col("body")), " ").alias("form")), ["th", "kind"])
     sided = enough.join(items.select("item", "kind", "slots"), ["item", "kind"]).join(copied, ["th", "kind"])
     slots = sided.select("th", "item", "kind", "base", "drift", "matched", "windows", "path", "runs", "form", F.explode_outer("slots").alias("slot"))

@@ -186,6 +186,17 @@ def test_recall_of_generated_variants(spark):
     assert np.mean(flagged(spark, ITEM, texts)) >= 0.95
 
 
+def test_first_step_loses_no_match(spark, monkeypatch):
+    sf = "/root/testdata/sf0.001"
+    docs, bench = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    pieces = bench.select((F.col("item_id") + 10**6).alias("doc_id"), F.expr("concat_ws(' ', 'start here', array_join(slice(split(text, ' '), 3, 60), ' '), 'end')").alias("text"))
+    every = docs.select("doc_id", "text").unionByName(pieces)
+    found = lambda: sorted(r["doc_id"] for r in decontaminate.decontamination_report(every, bench).where("contaminated").collect())
+    kept = found()
+    monkeypatch.setattr(decontaminate, "_possible_texts", lambda keyed, *_: decontaminate._kinds(keyed.dropDuplicates(["th"]), "th"))
+    assert kept == found() and len(kept) > 20
+
+
 def test_decontamination_of_odd_rows(spark, odd, empty):
     bench = spark.createDataFrame([(1, prose(3))], "item_id long, text string")
     none = spark.createDataFrame([], "item_id long, text string")
@@ -415,7 +426,7 @@ def test_chat_round_trip(spark):
     nasty = r"\### user: </turn> <next> \b\h : ###"
     talk = [(1, 2, "assistant", nasty), (1, 0, "user", "hi"), (1, 1, "user", nasty), (1, 3, "assistant", None), (1, 3, "assistant", None), (2, 0, "sys: <#\\", "x\ny"), (None, 0, None, "")]
     made = chat.format_conversations(spark.createDataFrame(talk, "conv_id long, turn long, role string, text string"))
-    got = {r["conv_id"]: r for r in made.select("conv_id", chat.read_turns(F.col("formatted")).alias("t"), chat.trained_text(F.col("segments"), F.col("loss")).alias("l"), "formatted").collect()}
+    got = {r["conv_id"]: r for r in made.select("conv_id", chat.read_turns(F.col("formatted")).alias("t"), chat.trained_text(F.col("formatted"), F.col("spans")).alias("l"), "formatted").collect()}
     assert [tuple(t) for t in got[1]["t"]] == [("user", "hi"), ("user", nasty), ("assistant", nasty), ("assistant", ""), ("assistant", "")]
     assert got[1]["l"] == nasty and [tuple(t) for t in got[2]["t"]] == [("sys: <#\\", "x\ny")] and [tuple(t) for t in got[None]["t"]] == [("", "")]
     assert got[1]["formatted"].count("### ") == 2
