@@ -71,9 +71,9 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    made = chat.format_conversations(rows)
-    read = made.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("trained", chat.trained_text(F.col("segments"), F.col("loss")))
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lit(False).alias("extra")).unionByName(extra.withColumn("extra", F.lit(True)))
+    made = chat.format_conversations(rows, ("extra",))  # apart from a conversation -7 that the table may hold
+    read = made.withColumn("turns", chat.read_turns(F.col("formatted"))).withColumn("trained", chat.trained_text(F.col("formatted"), F.col("spans")))
     body = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return read.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(body, 256).alias("turns_sha256"), F.length("trained").cast("long").alias("loss_chars"),
@@ -97,10 +97,10 @@ def _escaped(column: str) -> str:
 
 OP10_SQL = rf"""
 with turns as (
-  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
-  union all values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text, false as extra from conversations
+  union all values (-7, 0, 'user', '\### Assistant: </turn> ok', true), (-7, 1, 'assistant', '\### Assistant: </turn> ok', true)
 ), placed as (
-  select *, lag(role) over w as before, lead(role) over w as after, row_number() over w as i from turns window w as (partition by conv_id order by turn, role, text)
+  select *, lag(role) over w as before, lead(role) over w as after, row_number() over w as i from turns window w as (partition by conv_id, extra order by turn, role, text)
 ), pieces as (
   select *, case when before is not null and before = role then '<next>' else '### ' || {_escaped("role")} || ': ' end || {_escaped("text")}
     || case when after is null or after <> role then '</turn>' || chr(10) else '' end as piece from placed
@@ -109,7 +109,7 @@ select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text |
   coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
   sha256(coalesce(string_agg(text, '' order by i) filter (where role = 'assistant'), '')) as loss_sha256,
   length(string_agg(piece, '' order by i)) as formatted_chars
-from pieces group by conv_id
+from pieces group by conv_id, extra
 """
 
 

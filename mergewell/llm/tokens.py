@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 import re
 from collections.abc import Iterator
 from itertools import repeat
@@ -14,8 +13,8 @@ from pyspark.sql import DataFrame
 from mergewell.llm.common import chunks, text_bytes
 
 SPACE = "▁"
-#: Words of more symbols than this merge by a heap, which takes no round for each merge; the result is the same.
-LONG_WORD = 192
+#: Texts on which a model must agree with the library before it is used: normalisation that this module does not do would show here.
+PROBES = ("", " ", "a", "  two  spaces ", "line\none\ttab\rend ", "\uff21\uff22 \ufb01n \u2460 e\u0301 \u00e9", "\u3000wide\u00a0hard\u200bzero", "<s></s><unk> 0x41 \u2581\u2581x", "AbC dEf", "\U0001f600\u4e2d\u6587\x00\x01\ufffd", "aaaaaaaaaaaa", "don't stop-it, 3.14!")
 #: Distinct words that a task remembers before it starts anew.
 REMEMBERED = 250_000
 
@@ -42,6 +41,9 @@ class PieceModel:
             last = i  # noqa: F841
         self._symbols(plain, rank)
         self._decoder()
+        for probe in PROBES:
+            if self.encode(probe) != library.encode(probe, add_eos=True):
+                raise ValueError(f"the model at {path} treats {probe!r} in a way that is not supported (its normaliser, kind or flags)")
 
     def _symbols(self, plain: list[int], rank: dict[int, int]) -> None:
         """Symbols are pieces and the characters that only occur inside pieces; merges lists (left, right) -> symbol."""
@@ -65,7 +67,15 @@ class PieceModel:
         self.pair_keys = np.append(keys, np.iinfo(np.int64).max)
         self.pair_rank = np.append(np.array([merges[k][0] for k in keys], np.int64), np.iinfo(np.int32).max)
         self.pair_symbol = np.append(np.array([merges[k][1] for k in keys], np.int64), -1)
-        self.pairs = merges
+        # after a quiet merge no pair with the new symbol ranks as low as the merge itself: all its places may go at once
+        lowest = np.full(len(strings), np.iinfo(np.int64).max)
+        np.minimum.at(lowest, self.pair_keys[:-1] // len(strings), self.pair_rank[:-1])
+        np.minimum.at(lowest, self.pair_keys[:-1] % len(strings), self.pair_rank[:-1])
+        quiet = lowest[self.pair_symbol[:-1]] > self.pair_rank[:-1]
+        loud = np.unique(self.pair_rank[:-1][~quiet])
+        self.quiet_rank = np.ones(int(self.pair_rank[:-1].max(initial=0)) + 2, bool)
+        self.quiet_rank[loud] = False
+        self.joined_keys = np.unique(np.array([self.char_symbol[p[0]] * len(strings) + self.char_symbol[p[1]] for p in self.joined], np.int64))
         self.splits_at_space = not any(p[0] != SPACE and p[1] == SPACE for p in self.joined)
 
     def _decoder(self) -> None:
@@ -86,11 +96,6 @@ class PieceModel:
 
     # -- encoding
 
-    def _segments(self, word: str) -> list[str]:
-        """The word cut where no piece joins two neighbouring characters: no merge crosses such a place."""
-        cuts = [0, *(i for i in range(1, len(word)) if word[i - 1 : i + 1] not in self.joined), len(word)]
-        return [word[a:b] for a, b in zip(cuts, cuts[1:])]
-
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = np.where((left >= 0) & (right >= 0), left * len(self.symbol_text) + right, -1)
         at = np.searchsorted(self.pair_keys, key)
@@ -99,8 +104,10 @@ class PieceModel:
     def _rounds(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Merges all words at once; returns symbols, words and the first character of each symbol.
 
-        In each round every word merges its pair of smallest rank, the leftmost of equal ones; merged
-        positions are compacted away, and words without a pair leave the arrays.
+        In each round every word merges its pair of smallest rank: the leftmost of equal ones, or, where
+        no pair with the merged symbol can rank as low, all of them from the left that do not overlap,
+        which are the very next merges anyway. Merged positions are compacted away, and words without a
+        pair leave the arrays. So a long word takes as many rounds as it has kinds of merges, not merges.
         """
         origin = np.arange(len(symbols))
         finished: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -116,7 +123,11 @@ class PieceModel:
             if not alive.any():
                 break
             best = np.flatnonzero(alive & (ranks == least))
-            merged = best[np.r_[True, owner[best[1:]] != owner[best[:-1]]]]
+            # within a run of neighbouring places every second one merges, from its left
+            begins = np.flatnonzero(np.r_[True, np.diff(best) > 1])
+            place = np.arange(len(best)) - np.repeat(begins, np.diff(np.r_[begins, len(best)]))
+            first = np.r_[True, owner[best[1:]] != owner[best[:-1]]]
+            merged = best[first | ((place % 2 == 0) & self.quiet_rank[ranks[best]])]
             symbols[merged] = self.pair_symbol[at[merged]]
             keep = np.ones(len(symbols), bool)
             keep[merged + 1] = False
@@ -129,56 +140,33 @@ class PieceModel:
         order = np.argsort(origin, kind="stable")
         return symbols[order], owner[order], origin[order]
 
-    def _heap(self, symbols: list[int]) -> tuple[list[int], list[int]]:
-        """The same merges for one long word, by a heap of (rank, position)."""
-        n, base = len(symbols), len(self.symbol_text)
-        after, before = [*range(1, n), -1], [-1, *range(n - 1)]
-        alive = [True] * n
-
-        def pair(i: int):
-            j = after[i]
-            return self.pairs.get(symbols[i] * base + symbols[j]) if j >= 0 and symbols[i] >= 0 and symbols[j] >= 0 else None
-
-        heap = [(p[0], i, p[1]) for i in range(n) if (p := pair(i))]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, to = heapq.heappop(heap)
-            if not alive[i] or (p := pair(i)) is None or p != (rank, to):
-                continue
-            j = after[i]
-            symbols[i], alive[j], after[i] = to, False, after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            for k in (before[i], i):
-                if k >= 0 and (p := pair(k)):
-                    heapq.heappush(heap, (p[0], k, p[1]))
-        return [symbols[i] for i in range(n) if alive[i]], [i for i in range(n) if alive[i]]
-
     def _spelled(self, symbol: int, char: str) -> list[int]:
         """The id of a symbol, or the byte ids of a character that is no piece."""
         if symbol >= 0 and self.symbol_id[symbol] >= 0:
             return [int(self.symbol_id[symbol])]
         return [self.byte_ids.get(b, self.unknown) for b in char.encode()] if self.byte_ids else [self.unknown]
 
-    def _encode_long(self, word: str) -> list[int]:
-        out: list[int] = []
-        for part in self._segments(word):
-            for symbol, at in zip(*self._heap([self.char_symbol.get(c, -1) for c in part])):
-                out += self._spelled(symbol, part[at])
-        return out
-
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words, flat, and how many each has; spaces in them are already written as the space mark."""
-        flat = "".join([w if len(w) <= LONG_WORD else w[0] for w in words])  # long words keep a place and are merged apart
+        """The ids of all words, flat, and how many each has; spaces in them are already written as the space mark.
+
+        Words are cut where no piece joins two neighbouring characters, for no merge crosses such a place.
+        """
+        flat = "".join(words)
         symbols = np.fromiter(map(self.char_symbol.get, flat, repeat(-1)), np.int64, len(flat))
-        owner = np.repeat(np.arange(len(words)), [len(w) if len(w) <= LONG_WORD else 1 for w in words])
-        symbols, owner, origin = self._rounds(symbols, owner)
-        ids = np.where(symbols >= 0, self.symbol_id[symbols], -1).astype(np.int64)
-        longer = np.fromiter((len(w) > LONG_WORD for w in words), bool, len(words))
-        special = np.flatnonzero((ids < 0) | longer[owner])
+        owner = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        apart = np.ones(len(flat), bool)
+        apart[1:] = owner[1:] != owner[:-1]
+        known = (symbols[1:] >= 0) & (symbols[:-1] >= 0)
+        joins = np.zeros(len(known), bool)
+        joins[known] = np.isin(symbols[:-1][known] * len(self.symbol_text) + symbols[1:][known], self.joined_keys)
+        apart[1:] |= ~joins
+        merged, _, origin = self._rounds(symbols, apart.cumsum())
+        owner = owner[origin]
+        ids = np.where(merged >= 0, self.symbol_id[merged], -1).astype(np.int64)
+        special = np.flatnonzero(ids < 0)
         if not len(special):
             return ids.astype(np.int32), np.bincount(owner, minlength=len(words))
-        spelled = [self._encode_long(words[owner[i]]) if longer[owner[i]] else self._spelled(-1, flat[origin[i]]) for i in special]
+        spelled = [self._spelled(-1, flat[origin[i]]) for i in special]
         lengths = np.ones(len(ids), np.int64)
         lengths[special] = [len(x) for x in spelled]
         out = np.repeat(ids, lengths)
@@ -285,8 +273,10 @@ class Encoder:
 def tokenise(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) for every document: the whole text encoded with the end id, and decoded again.
 
-    Null texts count as empty: the end id alone. Memory holds a few megabytes of text at a time, or one
-    longer text. The model file must be readable at path on every executor.
+    Null texts count as empty: the end id alone; repeated rows are encoded as often as they come, and an
+    empty table gives an empty result. Memory holds a few megabytes of text at a time, or one longer
+    text. The model file must be readable at path on every executor; a model that normalises texts or is
+    of another kind is refused. Ids must be whole numbers.
     """
     from hashlib import sha256
 
