@@ -13,7 +13,7 @@ from mergewell.llm.common import logistic, probability, training_rows
 #: Most labelled documents of either class that the model is fitted on; they are read whole.
 PER_CLASS = 1200
 #: Words in a window; windows follow one another and cover the whole text.
-WINDOW = 3
+WINDOW = 6
 #: Bytes to which a longer window (words without white space) is cut, and by how many its parts overlap.
 LONG_WINDOW, OVERLAP = 1024, 64
 #: Sizes of the dictionaries: toxic, ordinary, and ordinary windows that a toxic dictionary shortened by mistake.
@@ -61,7 +61,7 @@ def dictionary(size: int, texts: list[bytes], counted: int) -> bytes:
 
 
 def compressor(content: bytes) -> zstd.ZstdCompressor:
-    how = zstd.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=16, search_log=6, min_match=4, target_length=64, strategy=zstd.STRATEGY_LAZY2, write_content_size=False, write_checksum=False, write_dict_id=False)
+    how = zstd.ZstdCompressionParameters(window_log=17, chain_log=16, hash_log=16, search_log=4, min_match=4, target_length=64, strategy=zstd.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
     held = zstd.ZstdCompressionDict(content + HEADER, dict_type=zstd.DICT_TYPE_RAWCONTENT)
     held.precompute_compress(compression_params=how)
     return zstd.ZstdCompressor(dict_data=held, compression_params=how)
