@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,6 +27,24 @@ MUNICIPALITIES = (
 SYNONYMS = {"catia": "catia la mar", "catita": "catia la mar", "guaira": "la guaira", "maxuto": "macuto"}
 
 
+def load_synonyms(path: str) -> dict[str, str]:
+    """Spelling to canonical name, both normalised, from a YAML file of `canonical: {name: [spellings]}`; the first name of a repeated spelling counts."""
+    import yaml
+
+    with open(path, encoding="utf-8") as file:
+        listed = (yaml.safe_load(file) or {}).get("canonical") or {}
+    out: dict[str, str] = {}
+    for name, spellings in listed.items():
+        for spelling in spellings or ():
+            out.setdefault(_folded(str(spelling)), _folded(str(name)))
+    return out
+
+
+def _folded(name: str) -> str:
+    plain = "".join(c if c.isascii() else " " for c in unicodedata.normalize("NFKD", name.lower()) if unicodedata.category(c) != "Mn")
+    return " ".join("".join(c if c.isalnum() else " " for c in plain).split())
+
+
 def state_names() -> list[tuple[str, str]]:
     """(name, state), longer names first, equal ones in order of the alphabet."""
     names = dict(STATE_ALIASES)
@@ -56,7 +76,8 @@ def normalize_location(location: Column, synonyms: dict[str, str] = SYNONYMS, no
     raw = normalize_text(location) if normal_text else F.trim(F.regexp_replace(F.coalesce(location, F.lit("")), r"(?U)\s+", " "))
     matched = normalize_for_match(expand_abbreviations(raw))
     if synonyms:
-        matched = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in synonyms.items() for x in (k, v)]), matched), matched)
+        table = F.str_to_map(F.lit("|".join(f"{k}:{v}" for k, v in synonyms.items())), F.lit("[|]"), F.lit(":"))  # one literal, however many spellings
+        matched = F.get(F.transform(F.array(matched), lambda m: F.coalesce(F.try_element_at(table, m), m)), F.lit(0))
     towns = F.create_map(*[F.lit(x) for town, state, _ in MUNICIPALITIES for x in (town, state)])
     none = F.lit(None)
 

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import arrow_udf
 
+from mergewell.functions.text import plain_identifier
+
 #: The kinds of findings and their patterns.
 PATTERNS = {
     "identity_document": r"\b(?:[VEJG]\s*[-.]?\s*\d{6,10}|(?:DNI|CI|C[ÉE]DULA|RUT)\s*[:#-]?\s*\d{6,10})\b",
@@ -48,7 +50,7 @@ def detect_pii(texts: pa.Array) -> pa.Array:
 
 
 def redact(text: str, secret: str = "") -> str:
-    """Findings as placeholders; overlapping ones become one of kind `pii`. Documents and phones carry a keyed token where a secret is set."""
+    """Findings as placeholders; overlapping ones become one of kind `pii`. Documents and phones carry the identity token of their text where a secret is set."""
     merged: list[list] = []
     for f in spans(text):
         if merged and f["start"] < merged[-1][2]:
@@ -60,8 +62,7 @@ def redact(text: str, secret: str = "") -> str:
     for kind, start, end in merged:
         token = ""
         if secret and kind in ("identity_document", "phone"):
-            plain = re.sub(r"[^a-z0-9]+", "", text[start:end].lower())
-            token = "_" + hmac.new(secret.encode(), plain.encode(), hashlib.sha256).hexdigest()
+            token = "_" + hmac.new(secret.encode(), plain_identifier(text[start:end]).encode(), hashlib.sha256).hexdigest()
         out += [text[at:start], f"[REDACTED_{kind.upper()}{token}]"]
         at = end
     return "".join(out) + text[at:]
@@ -73,8 +74,3 @@ def redact_pii(text: Column, secret: str = "") -> Column:
         return pa.array([None if t is None else redact(t, secret) for t in texts.to_pylist()], pa.string())
 
     return redacted(text)
-
-
-def placeholder_sql(text: Column) -> Column:
-    """Redaction of e-mail addresses alone, without Python."""
-    return F.regexp_replace(text, "(?iuU)" + PATTERNS["email"], "[REDACTED_EMAIL]")

@@ -29,7 +29,20 @@ def _accents() -> tuple[str, str]:
 
 
 ACCENTED, PLAIN = _accents()
-MARKS = "".join(chr(c) for c in range(0x300, 0x370))
+MARKS = "".join(chr(c) for block in (range(0x300, 0x370), range(0x1AB0, 0x1B00), range(0x1DC0, 0x1E00), range(0x20D0, 0x2100), range(0xFE20, 0xFE30)) for c in block)
+
+
+def _compatible() -> dict[str, str]:
+    """The letters and digits in lower case that each other character stands for in compatibility form, those of ACCENTED aside."""
+    plain = lambda c: "".join(x if x.isascii() and x.isalnum() else "" if unicodedata.category(x) == "Mn" else " " for x in unicodedata.normalize("NFKD", c).lower())
+    found = {chr(c): plain(chr(c)) for c in range(0x80, 0x20000) if not 0xD800 <= c < 0xE000 and unicodedata.decomposition(chr(c)).startswith("<")}
+    return {c: v for c, v in found.items() if v.strip() and c not in ACCENTED}
+
+
+_COMPATIBLE = _compatible()
+#: Characters that stand for one letter or digit, those, and the others with what they stand for.
+COMPATIBLE, COMPATIBLE_PLAIN = "".join(c for c, v in _COMPATIBLE.items() if len(v) == 1), "".join(v for v in _COMPATIBLE.values() if len(v) == 1)
+LIGATURES = {c: v for c, v in _COMPATIBLE.items() if len(v) > 1}
 
 
 def collapse(text: Column) -> Column:
@@ -52,8 +65,9 @@ def normalize_unicode(text: Column, form: str = "NFC") -> Column:
 
 
 def normalize_text(text: Column) -> Column:
-    """NFKC and collapsed white space; ASCII texts don't leave the JVM's plan but for the function call."""
-    return collapse(to_nfkc(text))
+    """NFKC and collapsed white space; only texts with a character beyond ASCII are handed to Python."""
+    odd = text.rlike(r"[^\x00-\x7F]")
+    return collapse(F.when(odd, to_nfkc(F.when(odd, text))).otherwise(text))
 
 
 def strip_accents(text: Column) -> Column:
@@ -61,8 +75,26 @@ def strip_accents(text: Column) -> Column:
 
 
 def normalize_for_match(text: Column) -> Column:
-    """Lower case without accents, anything but a-z and 0-9 as single spaces; for texts in composed form, without Python."""
-    return F.trim(F.regexp_replace(strip_accents(F.lower(F.coalesce(text, F.lit("")))), r"[^a-z0-9]+", " "))
+    """Compatibility form in lower case without accents, anything but a-z and 0-9 as single spaces; null is empty. Without Python."""
+    return F.trim(F.regexp_replace(strip_accents(F.lower(compatibility(F.coalesce(text, F.lit(""))))), r"[^a-z0-9]+", " "))
+
+
+def compatibility(text: Column) -> Column:
+    """The text with full-width, circled, styled and joined letters and digits written plainly; texts without any pass one search."""
+    table = F.str_to_map(F.lit("\x1e".join(f"{c}\x1f{v}" for c, v in LIGATURES.items())), F.lit("\x1e"), F.lit("\x1f"))
+    spelled = F.array_join(F.transform(F.split(F.translate(text, COMPATIBLE, COMPATIBLE_PLAIN), ""), lambda c: F.coalesce(F.try_element_at(table, c), c)), "")
+    return F.when(text.rlike(_class(COMPATIBLE + "".join(LIGATURES))), spelled).otherwise(text)
+
+
+def _class(chars: str) -> str:
+    """A pattern of one of the characters, as ranges."""
+    codes, out = sorted(map(ord, chars)), []
+    for c in codes:
+        if out and c == out[-1][1] + 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
 
 
 def expand_abbreviations(text: Column, mapping: dict[str, str] = ABBREVIATIONS) -> Column:
@@ -201,6 +233,12 @@ def normalize_identifier(value: Column) -> Column:
     return F.replace(normalize_for_match(value), F.lit(" "), F.lit(""))
 
 
+def plain_identifier(value: str) -> str:
+    """normalize_identifier for one value in Python."""
+    folded = unicodedata.normalize("NFKD", value).lower()
+    return "".join(c for c in unicodedata.normalize("NFKD", folded) if c.isascii() and c.isalnum())
+
+
 def hmac_sha256(message: Column, secret: str) -> Column:
     """HMAC-SHA256 in hex, by built-in functions; the padded keys are literals of the plan, so keep plans out of logs."""
     import hashlib

@@ -43,6 +43,34 @@ def _fields(prefix: str) -> dict[str, Column]:
     return {c: F.col(f"{prefix}.{c}") for c in ("name", "hmac", "partial", "place", "ages", "status")}
 
 
+#: Members of a block from which its pairs are dealt to several tasks, one for each so many members.
+HOT_BLOCK = 1000
+
+
+def _pairs(persons: DataFrame, new_ids: DataFrame | None) -> DataFrame:
+    """(block_key, a, b): what is compared of the two records of each pair of a block, smaller id first.
+
+    The compared fields travel with the block keys, so pairs are made once, in one join, and never
+    shuffled. A block of more than HOT_BLOCK members is dealt to as many tasks as it has that many
+    members: each left record goes to one of them, each right one to all. With new_ids the left side
+    holds new records alone, and pairs of two old ones never arise.
+    """
+    keyed = persons.where(F.trim("id") != "").select("id", F.explode(F.array_distinct(F.filter("block_keys", lambda k: k != ""))).alias("block_key")).distinct()
+    rows = keyed.join(comparable(persons), "id").select("block_key", F.struct("id", "name", "hmac", "partial", "place", "ages", "status").alias("x"))
+    if new_ids is not None:
+        fresh = new_ids.select("id", F.lit(True).alias("fresh")).distinct()
+        rows = rows.withColumn("id", F.col("x.id")).join(fresh, "id", "left").select("block_key", "x", F.coalesce("fresh", F.lit(False)).alias("fresh"))
+    hot = keyed.groupBy("block_key").agg(F.ceil(F.count("*") / HOT_BLOCK).cast("int").alias("tasks")).where("tasks > 1")
+    dealt = rows.join(F.broadcast(hot), "block_key", "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))  # a row for HOT_BLOCK members
+    left = dealt.withColumn("part", F.pmod(F.xxhash64("x.id"), F.col("tasks")).cast("int")).select("block_key", "part", F.col("x").alias("a"), *(["fresh"] if new_ids is not None else []))
+    right = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).select("block_key", "part", F.col("x").alias("b"), *([F.col("fresh").alias("also")] if new_ids is not None else []))
+    if new_ids is None:
+        return left.join(right, ["block_key", "part"]).where(F.col("a.id") < F.col("b.id")).select("block_key", "a", "b")
+    met = left.where("fresh").join(right, ["block_key", "part"]).where((F.col("a.id") != F.col("b.id")) & (~F.col("also") | (F.col("a.id") < F.col("b.id"))))
+    first = F.col("a.id") < F.col("b.id")
+    return met.select("block_key", F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"))
+
+
 def find_candidates(persons: DataFrame, threshold: float = scores.THRESHOLD, new_ids: DataFrame | None = None) -> DataFrame:
     """(left_id, right_id, blocking_key, score, reasons, priority) for pairs of a block that reach the threshold.
 
@@ -51,16 +79,7 @@ def find_candidates(persons: DataFrame, threshold: float = scores.THRESHOLD, new
     that even equal names could not lift to the threshold never reach the string function; this loses none.
     With new_ids, pairs of two old records are left out.
     """
-    members = blocks(persons)
-    facts = comparable(persons)
-    left = members.withColumnRenamed("id", "left_id").alias("l")
-    right = members.withColumnRenamed("id", "right_id").alias("r")
-    pairs = left.join(right, "block_key").where("left_id < right_id")
-    if new_ids is not None:
-        fresh = new_ids.select(F.col("id").alias("__new")).distinct()
-        one = pairs.join(fresh, F.col("left_id") == F.col("__new"), "left_semi")
-        pairs = one.unionByName(pairs.join(fresh, F.col("right_id") == F.col("__new"), "left_semi")).distinct()
-    sided = pairs.join(facts.alias("a"), F.col("left_id") == F.col("a.id")).join(facts.alias("b"), F.col("right_id") == F.col("b.id"))
+    sided = _pairs(persons, new_ids)
     a, b = _fields("a"), _fields("b")
     w = scores.WEIGHTS
     veto = (a["hmac"] != "") & (b["hmac"] != "") & (a["hmac"] != b["hmac"])
@@ -70,7 +89,7 @@ def find_candidates(persons: DataFrame, threshold: float = scores.THRESHOLD, new
         "age": w["age"] * scores.age_score(a["ages"], b["ages"]),
         "status": w["status"] * F.when(a["status"].eqNullSafe(b["status"]), 1.0).otherwise(0.0),
     }
-    known = sided.where(~veto).select("left_id", "right_id", F.col("block_key").alias("blocking_key"), a["name"].alias("na"), b["name"].alias("nb"), *[v.alias(k) for k, v in parts.items()])
+    known = sided.where(~veto).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), F.col("block_key").alias("blocking_key"), a["name"].alias("na"), b["name"].alias("nb"), *[v.alias(k) for k, v in parts.items()])
     rest = F.col("cedula") + F.col("location") + F.col("age") + F.col("status")
     possible = known.where(F.round(rest + w["name"], 4) >= threshold)
     named = possible.withColumn("name", w["name"] * scores.jaro_winkler_udf("na", "nb")).withColumn("score", F.round(F.col("name") + rest, 4))
@@ -82,12 +101,12 @@ def merge_candidates(existing: DataFrame, found: DataFrame) -> DataFrame:
     """Existing edges with refreshed scores, reasons and priorities, and new ones as pending; decisions are never touched. Pairs match in either order, with their key."""
 
     def keyed(df: DataFrame) -> DataFrame:
-        return df.withColumn("__l", F.least("left_id", "right_id")).withColumn("__r", F.greatest("left_id", "right_id"))
+        return df.withColumn("low_id", F.least("left_id", "right_id")).withColumn("high_id", F.greatest("left_id", "right_id"))
 
-    keys = ["__l", "__r", "blocking_key"]
+    keys = ["low_id", "high_id", "blocking_key"]
     new = keyed(found).dropDuplicates(keys).select(*keys, F.col("score").alias("s"), F.col("reasons").alias("re"), F.col("priority").alias("p"))
     both = keyed(existing).join(new, keys, "full_outer")
     return both.select(
-        F.coalesce("left_id", "__l").alias("left_id"), F.coalesce("right_id", "__r").alias("right_id"), "blocking_key", F.coalesce("s", "score").alias("score"),
+        F.coalesce("left_id", "low_id").alias("left_id"), F.coalesce("right_id", "high_id").alias("right_id"), "blocking_key", F.coalesce("s", "score").alias("score"),
         F.coalesce("re", "reasons").alias("reasons"), F.coalesce("p", "priority").alias("priority"), F.coalesce("decision", F.lit("pending")).alias("decision"),
     )

@@ -50,17 +50,42 @@ def first_seen(items: DataFrame, seen: DataFrame, key: str = "fingerprint", posi
     return first.select(*items.columns).unionByName(keyless)
 
 
-def union_by_id(primary: DataFrame, extra: DataFrame, key: str = "id") -> DataFrame:
-    """All rows, one for each id, those of primary first."""
-    both = primary.withColumn("__from", F.lit(0)).unionByName(extra.withColumn("__from", F.lit(1)))
-    best = both.groupBy(key).agg(F.min_by(F.struct(*[c for c in both.columns if c != key]), "__from").alias("w"))
-    return best.select(key, "w.*").select(*primary.columns)
+def _free(df: DataFrame, stem: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
+
 
+def latest(rows: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row for each key: the last by order (null first), among equals, or without an order, the one of the largest hash of its values."""
+    others = [c for c in rows.columns if c not in keys]
+    rank = F.struct(*([F.col(order).isNotNull(), F.col(order)] if order else []), F.xxhash64(*others))
+    best = _free(rows, "best")
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias(best)).select(*keys, f"{best}.*").select(*rows.columns) if others else rows.distinct()
 
-def upsert(current: DataFrame, new: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
-    """current with new's rows in place of those of equal keys; columns in keep hold their old value. For tables without MERGE: write the result as a new version."""
-    there = F.col("__new").isNotNull()
-    marked = current.alias("o").join(new.withColumn("__new", F.lit(1)).alias("n"), keys, "full_outer")
+
+def union_by_id(primary: DataFrame, extra: DataFrame, key: str = "id") -> DataFrame:
+    """One row for each id, from primary where it has one, among equals the one of the smallest hash; rows without an id all stay."""
+    part = _free(primary, "part")
+    both = primary.withColumn(part, F.lit(0)).unionByName(extra.withColumn(part, F.lit(1)))
+    others = [c for c in both.columns if c != key]
+    best = both.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*others), F.struct(part, F.xxhash64(*others))).alias("w"))
+    return best.select(key, "w.*").select(*primary.columns).unionByName(both.where(F.col(key).isNull()).select(*primary.columns))
+
+
+def upsert(current: DataFrame, new: DataFrame, keys: list[str], keep: tuple[str, ...] = (), order: str | None = None) -> DataFrame:
+    """current with new's rows in place of those of equal keys; columns in keep hold their old value.
+
+    A key that new holds several times counts once, with its last row by the column order (see latest);
+    order itself need not be a column of current. Null keys match nothing and are inserted. For tables
+    without MERGE: write the result as a new version.
+    """
+    fresh = latest(new, keys, order)
+    mark = _free(fresh, "is_new")
+    there = F.col(f"n.{mark}").isNotNull()
+    marked = current.alias("o").join(fresh.withColumn(mark, F.lit(1)).alias("n"), keys, "full_outer")
     out = []
     for c in current.columns:
         if c in keys:
@@ -85,7 +110,8 @@ def keyset_page(records: DataFrame, size: int, after: tuple | None = None, order
 
 
 def limit_per_source(records: DataFrame, most: int, source: str = "source_id", order: tuple[str, ...] = ("page", "pos")) -> DataFrame:
-    return records.withColumn("__n", F.row_number().over(Window.partitionBy(source).orderBy(*order))).where(F.col("__n") <= most).drop("__n")
+    place = _free(records, "place")
+    return records.withColumn(place, F.row_number().over(Window.partitionBy(source).orderBy(*order))).where(F.col(place) <= most).drop(place)
 
 
 def group_by_signature(rows: DataFrame, payload: str) -> DataFrame:

@@ -165,3 +165,46 @@ def purge_raw_text(artifacts: DataFrame, now: Column, hours: int = 12) -> DataFr
 def score_entity(df: DataFrame, entity_type: str) -> DataFrame:
     fields = {f: F.col(f) for f in scores.FIELD_SCORES[entity_type] if f in df.columns}
     return df.withColumn("confidence_score", scores.confidence_score(entity_type, fields, F.col("trust_tier")))
+
+
+TYPES = {slug: name for name, slug in SLUGS.items()}
+PERSON_RECORD = "struct<event_id:string,full_name:string,alternate_names:array<string>,cedula_hmac:string,cedula_masked:string,cedula_partial:string,cedula_partial_pattern:string,identity_kind:string,pii_provenance:string,name_truncated:boolean,age_range:struct<min:int,max:int>,sex:string,is_minor:boolean,last_known_location:string,status:string,trust_tier:string,dedup_confidence:double,confidence_score:double>"
+CENTER_RECORD = "struct<event_id:string,name:string,location_text:string,coordinates:struct<lat:double,lon:double>,status:string,trust_tier:string,confidence_score:double,managing_org:string,contact_public:string,current_load:int>"
+
+
+def route(staged: DataFrame) -> DataFrame:
+    """staged with its route: person, acopio_center, event (kept in the catalogue, not projected), malformed (no id or no JSON object) or unknown."""
+    malformed = F.coalesce(F.trim(F.col("id").cast("string")) == "", F.lit(True)) | F.from_json("raw_json", "map<string,string>").isNull() | ~F.coalesce(F.ltrim("raw_json").startswith("{"), F.lit(False))
+    known = F.when(F.col("entity_type").isin("person", "acopio_center", "event"), F.col("entity_type")).otherwise("unknown")
+    return staged.withColumn("route", F.when(malformed, "malformed").otherwise(known))
+
+
+def project_types(staged: DataFrame, default_event: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(persons, centers, errors) of staged rows; events are skipped, errors has the id and the reason of every other row."""
+    routed = route(staged)
+    persons = project(routed.where("route = 'person'"), PERSON_FIELDS, PERSON_RECORD, default_event)
+    centers = project(routed.where("route = 'acopio_center'"), CENTER_FIELDS, CENTER_RECORD, default_event)
+    return persons, centers, routed.where("route in ('malformed', 'unknown')").select("id", "entity_type", F.col("route").alias("reason"))
+
+
+def seed_events(staged: DataFrame, catalogue: DataFrame, default_event: str, event_type: str = "earthquake", description: str = "") -> DataFrame:
+    """The rows that the event catalogue still lacks: the default event and each one that a record to be projected refers to."""
+    named = route(staged).where("route in ('person', 'acopio_center')").select(F.get_json_object("raw_json", "$.event_id").alias("event_id")).where("event_id <> ''")
+    wanted = named.unionByName(named.sparkSession.range(1).select(F.lit(default_event).alias("event_id"))).distinct()
+    return wanted.join(catalogue.select("event_id"), "event_id", "left_anti").select("event_id", F.lit(event_type).alias("event_type"), F.lit(description).alias("description"))
+
+
+def job_records(staged: DataFrame) -> DataFrame:
+    """Staged rows as consolidation reads them: payload instead of raw_json, the type's name for its slug, a missing tier empty."""
+    name = F.try_element_at(F.create_map(*[F.lit(x) for pair in TYPES.items() for x in pair]), F.col("entity_type"))
+    return staged.withColumns({"entity_type": F.coalesce(name, F.col("entity_type")), "trust_tier": F.coalesce("trust_tier", F.lit(""))}).withColumnRenamed("raw_json", "payload")
+
+
+def staging_envelope(df: DataFrame, entity_type: str, source_id: Column, record_id: str, payload: list[str], dedup: Column, block_keys: Column, version: int = 1, artifact: Column | None = None) -> DataFrame:
+    """staging_rows with what consolidation needs beside it: dedup_hash, dedup_version, block_keys, normalizer_version and the artifact."""
+    carried = {"dedup_hash": dedup, "dedup_version": F.lit(version), "block_keys": block_keys, "normalizer_version": F.lit("1"), "artifact_id": F.lit(None).cast("string") if artifact is None else artifact}
+    kept = sorted(c for c in payload if not c.startswith("_"))
+    body = df.withColumns({"raw_json": F.to_json(F.struct(*kept), {"ignoreNullFields": "false"}), **carried})
+    hashed = body.withColumn("content_hash", F.sha2("raw_json", 256))
+    made = external_id(F.lit(entity_type), source_id, F.col(record_id).cast("string"), F.col("content_hash"))
+    return hashed.select(F.lit(SLUGS[entity_type]).alias("entity_type"), source_id.alias("source_id"), made.alias("external_id"), "content_hash", "raw_json", *carried)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mergewell.functions import dates, location, pii, scores, text
-from mergewell.operators import candidates, components, consolidate, gold, keys, records
-from mergewell.sources import pages
+from mergewell.operators import candidates, components, consolidate, gold, ingest, keys, provenance, records
+from mergewell.session import spread
+from mergewell.sources import config, pages
 from mergewell.streaming import incremental
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,7 +38,7 @@ def oracle_sql() -> dict[str, str]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 MATCH_SQL = "trim(regexp_replace(strip_accents(lower(coalesce({}, ''))), '[^a-z0-9]+', ' ', 'g'))"
@@ -52,6 +53,16 @@ def normalize_for_match(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", text.normalize_for_match(F.col("text")).alias("matched"))
 
 
+#: Lead characters in compatibility form and what they are plainly.
+FORMS = (("\uff2d\uff4f\uff52\uff41", "mora"), ("\ufb01n", "fin"), ("\u2460\u00b2", "12"), ("\u0130\u1d2c", "ia"), ("Jos\u0065\u0301", "jose"), ("\u33a1", "m2"))
+
+
+@query(f"select p_partkey, {[plain for _, plain in FORMS]}[p_partkey % {len(FORMS)} + 1] || ' ' || {MATCH_SQL.format('p_name')} as matched from part")
+def match_compatibility_forms(spark, sf_dir):
+    lead = F.get(F.array(*[F.lit(form) for form, _ in FORMS]), (F.col("p_partkey") % len(FORMS)).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.normalize_for_match(F.concat_ws("  ", lead, "p_name")).alias("matched"))
+
+
 @query(f"select doc_id, sha256({SPACES_SQL.format('text')}) as text_sha256 from documents")
 def normalize_text(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(text.normalize_text(F.col("text")), 256).alias("text_sha256"))
@@ -173,22 +184,59 @@ def age_ranges(spark, sf_dir):
 # Personal data.
 
 
-@query(r"select doc_id, len(regexp_extract_all(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b')) as emails, len(regexp_extract_all(text, '(?i)\b(?:menor|adolescente|infante)\b')) as minors from documents")
+def _bounded(kind: str) -> str:
+    """The pattern with word borders that know letters beyond ASCII, as group 1 and, behind words for minors, group 2."""
+    pattern = pii.PATTERNS[kind]
+    if kind != "phone":
+        pattern = r"(^|[^\p{L}\p{N}_])" + pattern.removeprefix(r"\b")
+    return pattern.removesuffix(r"\b") + r"($|[^\p{L}\p{N}_])" if kind == "possible_minor" else pattern
+
+
+def _found_sql(kind: str) -> str:
+    return f"regexp_extract_all(coalesce(text, ''), '(?i){_bounded(kind)}')"
+
+
+@query("select doc_id, " + ", ".join(f"len({_found_sql(k)}) as {k}" for k in pii.PATTERNS) + " from documents")
 def pii_counts(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents")
-    minors = F.regexp_count("text", F.lit(r"(?iuU)\b(?:menor|adolescente|infante)\b"))
-    return rows.select("doc_id", pii.pii_count(F.col("text"), "email").alias("emails"), minors.alias("minors"))
+    return table(spark, sf_dir, "documents").select("doc_id", *[pii.pii_count(F.col("text"), k).alias(k) for k in pii.PATTERNS])
 
 
-@query()
+@query(" union all ".join(f"select doc_id, '{k}' as kind, len({_found_sql(k)}) as n from documents where len({_found_sql(k)}) > 0" for k in pii.PATTERNS))
 def detect_pii(spark, sf_dir):
     found = table(spark, sf_dir, "documents").where(pii.has_pii(F.col("text"))).select("doc_id", F.explode(pii.detect_pii("text")).alias("f"))
-    return found.select("doc_id", "f.kind", "f.start", "f.end")
+    return found.groupBy("doc_id", "f.kind").agg(F.count("*").alias("n"))
 
 
-@query()
+def _redacted_sql() -> str:
+    """Replacement kind by kind; equal to merged spans where findings of two kinds don't overlap."""
+    out = "text"
+    for kind in pii.PATTERNS:
+        before, after = "" if kind == "phone" else r"\1", r"\2" if kind == "possible_minor" else ""
+        out = f"regexp_replace({out}, '(?i){_bounded(kind)}', '{before}[REDACTED_{kind.upper()}]{after}', 'g')"
+    return out
+
+
+@query(f"select doc_id, sha256({_redacted_sql()}) as redacted_sha256 from documents")
 def redact_pii(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(pii.redact_pii(F.col("text"), SECRET), 256).alias("redacted_sha256"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(pii.redact_pii(F.col("text")), 256).alias("redacted_sha256"))
+
+
+@query(f"select c_custkey, 'x [REDACTED_IDENTITY_DOCUMENT_' || {_hmac_sql(chr(39) + 'cedula' + chr(39) + ' || lpad(c_custkey::varchar, 8, ' + chr(39) + '0' + chr(39) + ')')} || ']' as redacted from customer")
+def redact_with_tokens(spark, sf_dir):
+    said = F.concat(F.lit("x CÉDULA: "), F.lpad(F.col("c_custkey").cast("string"), 8, "0"))
+    return table(spark, sf_dir, "customer").select("c_custkey", pii.redact_pii(said, SECRET).alias("redacted"))
+
+
+@query(r"""select c_custkey, case when k = 2 then 'pii_untreatable' else 'kept' end as outcome, case when k = 0 then 'hmac_sha256:' || """ + _hmac_sql("lpad(c_custkey::varchar, 8, '0')") + r""" end as token, case when k = 0 then '****' || right(lpad(c_custkey::varchar, 8, '0'), 4) end as masked from (select c_custkey, c_custkey % 4 as k from customer)""")
+def apply_pii(spark, sf_dir):
+    """Identifiers that can be tokenised, that cannot (with and without a name) and that are missing."""
+    k = F.col("c_custkey") % 4
+    given = F.when(k == 0, F.lpad(F.col("c_custkey").cast("string"), 8, "0")).when(k < 3, "\u2014\u2014")
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.when(k != 2, F.col("c_name")).alias("full_name"), given.alias("cedula"))
+    good, bad = ingest.apply_pii(rows, SECRET, "Person", "c_custkey")
+    kept = good.select("c_custkey", F.lit("kept").alias("outcome"), F.when(k == 0, F.col("cedula_hmac")).alias("token"), F.col("cedula_masked").alias("masked"))
+    none = F.lit(None).cast("string")
+    return kept.unionByName(bad.select(F.get_json_object("body", "$.c_custkey").cast("long").alias("c_custkey"), F.col("reason_code").alias("outcome"), none.alias("token"), none.alias("masked")))
 
 
 @query(r"select doc_id, regexp_matches(text, '(?i)\b[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\b') as quarantined from documents")
@@ -198,11 +246,14 @@ def unmapped_gate(spark, sf_dir):
     return clean.select("doc_id", F.lit(False).alias("quarantined")).unionByName(dirty.select("doc_id", F.lit(True).alias("quarantined")))
 
 
-@query()
+_SUMMARY_SQL = "'{' || array_to_string(list_filter([" + ", ".join(f"case when len({_found_sql(k)}) > 0 then '\"{k}\":' || len({_found_sql(k)}) end" for k in pii.PATTERNS) + "], lambda x: x is not null), ',') || '}'"
+
+
+@query(f"select source as source_slug, 'pii_untreatable' as reason_code, 'high' as risk_level, sha256(text) as payload_hash, substring({_redacted_sql()}, 1, 500) as payload_preview_redacted, {_SUMMARY_SQL} as pii_findings_summary, 'pending' as review_status from documents where " + " or ".join(f"len({_found_sql(k)}) > 0" for k in pii.PATTERNS))
 def quarantine(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").where(pii.has_pii(F.col("text"))).select(F.col("source").alias("source_slug"), "text")
-    made = records.quarantine_rows(rows, "text", "pii_untreatable", "high", secret=SECRET)
-    return made.withColumn("pii_findings_summary", F.to_json("pii_findings_summary"))
+    made = provenance.quarantine_sink(records.quarantine_rows(rows, "text", "pii_untreatable", "high"), F.lit("run"), F.lit("2024-01-10").cast("timestamp"))
+    return made.select("source_slug", "reason_code", "risk_level", "payload_hash", "payload_preview_redacted", F.to_json("pii_findings_summary").alias("pii_findings_summary"), "review_status")
 
 
 # Fingerprints and exact consolidation.
@@ -255,11 +306,13 @@ def first_seen(spark, sf_dir):
     return consolidate.first_seen(items, items.where("doc_id < 100")).select("doc_id")
 
 
-@query("select o_orderkey, case when o_orderkey % 2 = 0 then 'new' else o_orderstatus end as status from orders union all select 10000000 + o_orderkey, 'new' from orders where o_orderkey % 5 = 0")
+@query("select o_orderkey, case when o_orderkey % 2 = 0 then 'new3' else o_orderstatus end as status from orders union all select 10000000 + o_orderkey, 'new3' from orders where o_orderkey % 5 = 0")
 def staging_upsert(spark, sf_dir):
+    """Every key arrives three times; the last version wins."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
-    new = orders.where("o_orderkey % 2 = 0").select("o_orderkey", F.lit("new").alias("status")).unionByName(orders.where("o_orderkey % 5 = 0").select((F.col("o_orderkey") + 10000000).alias("o_orderkey"), F.lit("new").alias("status")))
-    return consolidate.upsert(orders, new, ["o_orderkey"])
+    arrived = orders.where("o_orderkey % 2 = 0").select("o_orderkey").unionByName(orders.where("o_orderkey % 5 = 0").select((F.col("o_orderkey") + 10000000).alias("o_orderkey")))
+    new = arrived.withColumn("version", F.explode(F.array(F.lit(2), F.lit(3), F.lit(1)))).withColumn("status", F.concat(F.lit("new"), F.col("version")))
+    return consolidate.upsert(orders, new, ["o_orderkey"], order="version")
 
 
 @query("select distinct o_custkey from orders where o_custkey not in (select c_custkey from customer where c_custkey % 3 = 0)")
@@ -341,6 +394,12 @@ def candidate_edges(spark, sf_dir):
     return found.select("left_id", "right_id", "blocking_key", F.round("score", 3).alias("score"), "priority")
 
 
+@query(EDGES_SQL + "select left_id, right_id, blocking_key from s where not veto and round(score, 4) >= 0.85 and (right(left_id, 2) = '07' or right(right_id, 2) = '07')")
+def candidate_edges_of_new(spark, sf_dir):
+    people = persons(spark, sf_dir)
+    return candidates.find_candidates(people, new_ids=people.where("right(id, 2) = '07'").select("id")).select("left_id", "right_id", "blocking_key")
+
+
 @query(f"with {PERSONS_SQL} select distinct id from m where right(id, 1) <> '0' and block_key in (select block_key from m where right(id, 1) = '0')")
 def block_partners(spark, sf_dir):
     people = persons(spark, sf_dir)
@@ -385,6 +444,14 @@ def published(spark, sf_dir):
     return gold.published(rows, entities, members).select("id", "gold_id")
 
 
+@query(EDGES_SQL + """, e as (select left_id as a, right_id as b from s where not veto and round(score, 4) >= 0.85 and blocking_key like 'ced:%'),
+r as (with recursive x(a, b) as (select a, b from (select a, b from e union select b, a from e union select a, a from e union select b, b from e) union select x.a, y.b from x join (select a, b from e union select b, a from e) y on x.b = y.a) select a, min(b) as c from x group by a)
+select c as gold_id, a as id, case when count(*) over (partition by c) > 1 then 'merge' else 'passthrough' end as action from r""")
+def gold_members(spark, sf_dir):
+    _, _, members, history = _clusters(spark, sf_dir)
+    return members.join(history.select("gold_id", "action"), "gold_id")
+
+
 # Rules, minors, projection.
 
 
@@ -423,6 +490,104 @@ def allowed_domains(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", (host.endswith(".example.com") & (F.substring_index(host, ".", 1) == "www")).alias("allowed"))
 
 
+STAGED_SQL = "(select c_custkey as id, ['person', 'acopio_center', 'event', 'other', 'person'][c_custkey % 5 + 1] as entity_type, c_custkey % 5 = 4 as malformed, 'E' || c_custkey % 3 as event_id, c_name from customer)"
+
+
+def _staged(spark, sf_dir) -> DataFrame:
+    k = F.col("c_custkey")
+    raw = F.to_json(F.struct(F.col("c_name").alias("full_name"), F.col("c_name").alias("name"), F.concat(F.lit("E"), (k % 3).cast("string")).alias("event_id"), F.lit("found").alias("status")))
+    kind = F.get(F.array(*[F.lit(t) for t in ("person", "acopio_center", "event", "other", "person")]), (k % 5).cast("int"))
+    return table(spark, sf_dir, "customer").select(k.alias("id"), kind.alias("entity_type"), F.when(k % 5 == 4, "[1]").otherwise(raw).alias("raw_json"))
+
+
+@query(f"select id, case when malformed then 'malformed' when entity_type = 'other' then 'unknown' else entity_type end as target, case when not malformed and entity_type in ('person', 'acopio_center') then c_name end as name, case when not malformed and entity_type = 'person' then 'missing' when not malformed and entity_type = 'acopio_center' then 'missing' end as status from {STAGED_SQL} where entity_type <> 'event'")
+def project_types(spark, sf_dir):
+    people, centers, errors = records.project_types(_staged(spark, sf_dir), "E0")
+    none = F.lit(None).cast("string")
+    sides = [people.select("id", F.lit("person").alias("target"), F.col("full_name").alias("name"), "status"), centers.select("id", F.lit("acopio_center").alias("target"), "name", "status"), errors.select("id", F.col("reason").alias("target"), none.alias("name"), none.alias("status"))]
+    return ingest.union_sources(sides)
+
+
+@query(f"select distinct event_id, 'earthquake' as event_type, 'd' as description from {STAGED_SQL} where not malformed and entity_type in ('person', 'acopio_center') and event_id <> 'E1' union select 'E9', 'earthquake', 'd'")
+def seed_events(spark, sf_dir):
+    known = spark.range(1).select(F.lit("E1").alias("event_id"))
+    return records.seed_events(_staged(spark, sf_dir), known, "E9", description="d")
+
+
+@query(f"select id, ['Person', 'AcopioCenter', 'Event', 'other', 'Person'][id % 5 + 1] as entity_type, '' as trust_tier, case when malformed then '[1]' else c_name end as payload_name from {STAGED_SQL}")
+def job_records(spark, sf_dir):
+    rows = records.job_records(_staged(spark, sf_dir).withColumn("trust_tier", F.lit(None).cast("string")))
+    return rows.select("id", "entity_type", "trust_tier", F.coalesce(F.get_json_object("payload", "$.full_name"), "payload").alias("payload_name"))
+
+
+@query("""select c_custkey, ['Libertador, Distrito Capital', 'Maracaibo, Zulia', 'nowhere'][c_custkey % 3 + 1] as last_known_location, ['2024-03-05', '3 lunes', null][c_custkey % 3 + 1] as date_iso, '1' as normalizer_version from customer""")
+def enrich_records(spark, sf_dir):
+    pick = lambda *v: F.get(F.array(*[F.lit(x) for x in v]), (F.col("c_custkey") % 3).cast("int"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("full_name"), pick("Caracas", "Maracaibo, Estado Zulia", "nowhere").alias("last_known_location"), pick("5/3/2024", "3 lunes", None).alias("date_iso"))
+    return ingest.enrich_records(rows).select("c_custkey", "last_known_location", "date_iso", "normalizer_version")
+
+
+@query("select s_suppkey, sha256('acopiocenter|src|' || s_suppkey) as external_id, sha256(lower(s_name)) as dedup_hash, ['k:' || s_suppkey] as block_keys, 1 as dedup_version, '1' as normalizer_version, 'a' as artifact_id from supplier")
+def staging_envelope(spark, sf_dir):
+    rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("name"))
+    made = records.staging_envelope(rows, "AcopioCenter", F.lit("src"), "s_suppkey", ["s_suppkey", "name"], F.sha2(F.lower("name"), 256), F.array(F.concat(F.lit("k:"), F.col("s_suppkey").cast("string"))), artifact=F.lit("a"))
+    return made.select(F.get_json_object("raw_json", "$.s_suppkey").cast("long").alias("s_suppkey"), "external_id", "dedup_hash", "block_keys", "dedup_version", "normalizer_version", "artifact_id")
+
+
+# Provenance and runs.
+
+_HOST_SQL = r"regexp_extract(url, '://([^/?#]*)', 1)"
+
+
+def _runs(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    raw = table(spark, sf_dir, "pages").select(F.regexp_extract("url", "://([^/?#]*)", 1).alias("source_id"), F.col("url").alias("source_url"), F.col("page_id").cast("int").alias("page"), F.col("html").alias("raw_content"))
+    runs = provenance.start_runs(raw.where("source_id <> ''"), "b1", F.lit("2024-01-10").cast("timestamp"))
+    return raw, runs
+
+
+@query(f"select sha256(run_id || '|' || coalesce(url, '') || '|' || page_id || '|' || coalesce(sha256(html), ''))[1:32] as artifact_id, run_id, source_id, page_id::int as page, sha256(html) as body_hash, 'raw' as pii_status from (select *, {_HOST_SQL} as source_id, sha256('b1|' || {_HOST_SQL})[1:32] as run_id from pages) where source_id <> ''")
+def raw_artifacts(spark, sf_dir):
+    raw, runs = _runs(spark, sf_dir)
+    return provenance.raw_artifacts(raw, runs).select("artifact_id", "run_id", "source_id", "page", "body_hash", "pii_status")
+
+
+@query("select source as source_id, count(*) as records, count(*) filter (where q = 1) as staged, count(*) filter (where q = 0) as quarantined, count(*) filter (where q is null) as failed from (select source, quality as q from documents left join labels using (doc_id)) group by rollup (source)")
+def run_summary(spark, sf_dir):
+    joined = table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("source_id")).join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    outcome = F.when(F.col("quality") == 1, "staged").when(F.col("quality") == 0, "quarantined").otherwise("failed")
+    return provenance.run_summary(joined.select("source_id", outcome.alias("outcome")))
+
+
+@query(f"select source_id, sum(n)::bigint as pages, max(n) filter (where k = 'odd') as odd from (select {_HOST_SQL} as source_id, case when page_id % 2 = 1 then 'odd' else 'even' end as k, count(*) as n from pages where {_HOST_SQL} <> '' group by all) group by source_id")
+def finish_runs(spark, sf_dir):
+    raw, runs = _runs(spark, sf_dir)
+    outcomes = raw.select("source_id", F.when(F.col("page") % 2 == 1, "odd").otherwise("even").alias("outcome"))
+    done = provenance.finish_runs(runs, outcomes, F.lit("2024-01-11").cast("timestamp"))
+    return done.select("source_id", F.aggregate(F.map_values("stats"), F.lit(0).cast("long"), lambda a, b: a + b).alias("pages"), F.try_element_at("stats", F.lit("odd")).alias("odd"))
+
+
+@query("select c_custkey::varchar as source_id, case when c_custkey % 4 = 0 then 'invalid_schema' else 'parsed' end as outcome, case when c_custkey % 4 <> 0 then c_name end as name from customer")
+def parse_pages(spark, sf_dir):
+    body = F.when(F.col("c_custkey") % 4 == 0, F.concat(F.lit('{"name": '), F.col("c_name"))).otherwise(F.to_json(F.struct(F.col("c_name").alias("name"))))
+    raw = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("source_id"), body.alias("raw_content"))
+    good, bad = ingest.parse_typed(raw, "struct<name:string>")
+    return ingest.union_sources([good.select("source_id", F.lit("parsed").alias("outcome"), "name"), bad.select("source_id", F.col("reason_code").alias("outcome"))])
+
+
+@query("select 's' || n_nationkey as id, 'http://' || lower(n_name) || '.invalid' as url, n_regionkey <> 0 and n_nationkey % 2 = 0 as enabled from nation")
+def resolve_sources(spark, sf_dir):
+    named = table(spark, sf_dir, "nation").withColumn("id", F.concat(F.lit("s"), F.col("n_nationkey").cast("string")))
+    thin = named.select("id", F.lit("p").alias("parser_asignado"), (F.col("n_nationkey") % 2 == 0).alias("enabled"))
+    listed = named.select(F.col("id").alias("source_id"), F.concat(F.lit("http://"), F.lower("n_name"), F.lit(".invalid")).alias("url"), (F.col("n_regionkey") != 0).alias("active"))
+    return config.resolve_sources(thin, listed).select("id", "url", "enabled")
+
+
+@query("select s_suppkey, 'host' || s_suppkey || '.invalid:8080' as web, 'dump.' || s_suppkey as file from supplier")
+def source_keys(spark, sf_dir):
+    k = F.col("s_suppkey").cast("string")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", ingest.source_key(F.concat(F.lit("HTTP://Host"), k, F.lit(".invalid:8080/a?b"))).alias("web"), ingest.source_key(F.concat(F.lit("data/dump."), k, F.lit(".txt"))).alias("file"))
+
+
 # Sources.
 
 
@@ -436,16 +601,57 @@ def json_lines(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", pages.json_lines("props").alias("lines"))
 
 
-@query("select c_custkey, ['missing', 'deceased', 'missing', null][c_custkey % 4 + 1] as status, case c_custkey % 4 when 0 then 'Ana Lopez' when 1 then 'Luis Mora' end as full_name from customer")
+#: Posts with the status and name that they tell.
+POSTS = (
+    ("Se busca a Ana Lopez tras el sismo", "missing", "Ana Lopez Tras El Sismo"), ("Luis Mora fallecido.", "deceased", "Luis Mora"), ("Nadie ha sido localizado.", "missing", None), ("hola", None, None),
+    ("Se busca a ANA LOPEZ por", "missing", "Ana Lopez"), ("desaparecida Ana de los Rios Mora en", "missing", "Ana de los Rios Mora"), ("desaparecida Ana y Luis Mora en", "missing", None), ("encontrado Juan-Jose D'Elia con tlf", "missing", "Juan-jose D'elia"), ("Se busca a Eva en", "missing", None),
+)
+
+
+def _listed(column: int) -> str:
+    return "[" + ", ".join("null" if p[column] is None else "'" + p[column].replace("'", "''") + "'" for p in POSTS) + "]"
+
+
+@query(f"select c_custkey, {_listed(1)}[c_custkey % {len(POSTS)} + 1] as status, {_listed(2)}[c_custkey % {len(POSTS)} + 1] as full_name from customer")
 def parse_posts(spark, sf_dir):
-    said = F.get(F.array(F.lit("Se busca a Ana Lopez tras el sismo"), F.lit("Luis Mora fallecido."), F.lit("Nadie ha sido localizado."), F.lit("hola")), (F.col("c_custkey") % 4).cast("int"))
+    said = F.get(F.array(*[F.lit(p[0]) for p in POSTS]), (F.col("c_custkey") % len(POSTS)).cast("int"))
     return pages.posts(table(spark, sf_dir, "customer").select("c_custkey", said.alias("text"))).select("c_custkey", "status", "full_name")
 
 
-@query("select page_id, i as page, 2 as total_pages, 't' || i as title, 't' || i || ' page ' || page_id || ' http://x.invalid/' || i as text from pages, (values (1), (2)) v(i)")
+@query("select c_name as full_name, (c_custkey % 90)::int as age, c_custkey % 90 < 18 as minor, case when c_custkey % 2 = 0 then 'Lara' end as place from customer")
+def demo_persons(spark, sf_dir):
+    k = F.col("c_custkey")
+    note = F.concat(F.lit("La familia demo busca  a "), F.lower("c_name"), F.lit(", "), (k % 90).cast("string"), F.lit(" años"), F.when(k % 2 == 0, ", Lara.").otherwise("."))
+    read = pages.demo_persons(table(spark, sf_dir, "customer").select(note.alias("raw_content")))
+    return read.select("full_name", F.col("age_range.min").alias("age"), F.col("is_minor").alias("minor"), F.col("last_known_location").alias("place"))
+
+
+@query("select ['organizations', 'persons', 'locations', 'organizations'][c_custkey % 4 + 1] as bucket, case when c_custkey % 4 = 0 then 'Hospital ' else '' end || c_name as entity from customer")
+def bucket_entities(spark, sf_dir):
+    k = F.col("c_custkey")
+    name = F.concat(F.when(k % 4 == 0, "Hospital ").otherwise(""), F.col("c_name"))
+    rows = table(spark, sf_dir, "customer").select(name.alias("entity"), F.get(F.array(*[F.lit(x) for x in ("PER", "PER", "GPE", "ORG")]), (k % 4).cast("int")).alias("label"))
+    return pages.bucket_entities(rows.unionByName(rows))
+
+
+@query("select s_suppkey, n_nationkey / 10.0 as lat, n_regionkey / 10.0 as lng from supplier left join nation on s_nationkey = n_nationkey and n_nationkey < 20")
+def geocoded(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation")
+    places = nation.where("n_nationkey < 20").select(F.lower("n_name").alias("place"), (F.col("n_nationkey") / 10.0).alias("lat"), (F.col("n_regionkey") / 10.0).alias("lng"))
+    rows = table(spark, sf_dir, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", F.col("n_name").alias("last_known_location"))
+    return location.geocoded(rows, places).select("s_suppkey", "lat", "lng")
+
+
+@query("""select page_id, i as page, case when page_id % 4 < 2 then 2 else 1 end as total_pages, case when page_id % 4 < 2 then 't' || i end as title,
+  case page_id % 4 when 2 then '<rss><item>page ' || page_id when 3 then '<!DOCTYPE x> <rss>' || page_id || '</rss>' else 't' || i || ' page ' || page_id || ' http://x.invalid/' || i end as text
+from pages, (values (1), (2)) v(i) where page_id % 4 < 2 or i = 1""")
 def feed_items(spark, sf_dir):
-    item = lambda i: F.concat(F.lit(f"<item><title>t{i}</title><description>page "), F.col("page_id").cast("string"), F.lit(f"</description><link>http://x.invalid/{i}</link></item>"))
-    feeds = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("<rss><channel>"), item(1), item(2), F.lit("</channel></rss>")).alias("body"))
+    """RSS, Atom, XML that is broken and XML with a document type, which is not parsed."""
+    k = F.col("page_id").cast("string")
+    item = lambda i: F.concat(F.lit(f"<item><title>t{i}</title><description>page "), k, F.lit(f"</description><link>http://x.invalid/{i}</link></item>"))
+    entry = lambda i: F.concat(F.lit(f"<entry><title>t{i}</title><summary>page "), k, F.lit(f'</summary><link rel="self" href="x"/><link href="http://x.invalid/{i}"/></entry>'))
+    bodies = (F.concat(F.lit("<rss><channel>"), item(1), item(2), F.lit("</channel></rss>")), F.concat(F.lit('<feed xmlns="http://www.w3.org/2005/Atom">'), entry(1), entry(2), F.lit("</feed>")), F.concat(F.lit("<rss><item>page "), k), F.concat(F.lit("<!DOCTYPE x>\n<rss>"), k, F.lit("</rss>")))
+    feeds = table(spark, sf_dir, "pages").select("page_id", F.get(F.array(*bodies), (F.col("page_id") % 4).cast("int")).alias("body"))
     return pages.feed_items(feeds, key="page_id")
 
 
@@ -483,4 +689,4 @@ def hourly_events(spark, sf_dir):
 @query("select event_type as note, count(*) as n from events group by 1 order by n desc, note limit 5")
 def top_notes(spark, sf_dir):
     """A report of the five commonest notices: the limit is the feature."""
-    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("note")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "note").limit(5)
+    return provenance.commonest(table(spark, sf_dir, "events").select(F.col("event_type").alias("note")))

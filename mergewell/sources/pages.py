@@ -181,6 +181,7 @@ def api_persons(pages: DataFrame, body: str = "raw_content") -> tuple[DataFrame,
 
 #: Words of posts and the statuses they tell, first match first.
 POST_STATUS = ((r"(?iuU)\b(desaparecid[oa]|se busca|no aparece)\b", "missing"), (r"(?iuU)\b(encontrad[oa]|apareci[oó]|localizad[oa])\b", "missing"), (r"(?iuU)\b(herid[oa]|lesionad[oa])\b", "missing"), (r"(?iuU)\b(fallecid[oa]|muri[oó])\b", "deceased"))
+#: The shape of a name, what stands before or after it, and the words that end it.
 POST_NAME = r"[A-ZÁÉÍÓÚÑ][A-Za-zÁÉÍÓÚÑáéíóúñ'-]+(?:\s+[A-ZÁÉÍÓÚÑ][A-Za-zÁÉÍÓÚÑáéíóúñ'-]+){1,4}"
 AFTER_SIGNAL = rf"(?iu)\b(?:se busca|desaparecid[oa]|encontrad[oa]|herid[oa]|lesionad[oa]|fallecid[oa])\s+(?:a\s+)?({POST_NAME})"
 BEFORE_STATUS = rf"(?iu)({POST_NAME})\s+(?:esta\s+|est[aá]\s+)?(?:desaparecid[oa]|encontrad[oa]|herid[oa]|lesionad[oa]|fallecid[oa])\b"
@@ -192,12 +193,15 @@ def post_status(body: Column) -> Column:
 
 
 def post_name(body: Column) -> Column:
-    """The name after a signal word, else before a status word, cut at the first context word; null below two words."""
-    found = F.coalesce(F.nullif(F.regexp_extract(body, AFTER_SIGNAL, 1), F.lit("")), F.nullif(F.regexp_extract(body, BEFORE_STATUS, 1), F.lit("")))
-    words = F.split(found, r"\s+")
-    cut = F.array_min(F.array_compact(F.transform(words, lambda w, i: F.when(F.lower(w).isin(*CONTEXT_WORDS), i))))
-    kept = F.filter(F.when(cut.isNull(), words).otherwise(F.slice(words, F.lit(1), cut)), lambda w: F.length(w) > 1)
-    return F.when(F.size(kept) >= 2, F.array_join(kept, " "))
+    """The name after a signal word, else before a status word, in proper case, without the context words at its end; null where fewer than two of its words have more than one letter."""
+
+    def shaped(pattern: str) -> Column:
+        words = F.filter(F.split(F.regexp_extract(body, pattern, 1), r"\s+"), lambda w: w != "")
+        last = F.array_max(F.transform(words, lambda w, i: F.when(~F.lower(w).isin(*CONTEXT_WORDS), i + 1)))
+        name = text.normalize_proper_name(F.array_join(F.slice(words, F.lit(1), F.coalesce(last, F.lit(0))), " "))
+        return F.when(F.size(F.filter(F.split(name, " "), lambda w: F.length(w) > 1)) >= 2, name)
+
+    return F.coalesce(shaped(AFTER_SIGNAL), shaped(BEFORE_STATUS))
 
 
 def posts(rows: DataFrame, body: str = "text") -> DataFrame:
@@ -205,6 +209,18 @@ def posts(rows: DataFrame, body: str = "text") -> DataFrame:
     return rows.withColumns({"status": post_status(F.col(body)), "full_name": post_name(F.col(body))})
 
 
+#: How the demonstration note names a person, an age and the one state it knows.
+DEMO_NAME, DEMO_AGE, DEMO_STATE = r"(?iuU)\bFamilia\s+Demo\s+busca\s+a\s+([^,\n]+)", r"(?iuU)\b(\d{1,3})\s+a(?:ñ|n)os\b", "Lara"
+
+
+def demo_persons(rows: DataFrame, body: str = "raw_content") -> DataFrame:
+    """(full_name, age_range, is_minor, last_known_location, status, trust_tier) read from demonstration notes; notes without a name give no row."""
+    name = text.normalize_proper_name(F.regexp_extract(body, DEMO_NAME, 1))
+    ages = scores.age_range(F.nullif(F.regexp_extract(body, DEMO_AGE, 1), F.lit("")))
+    read = rows.select(name.alias("full_name"), ages.alias("age_range"), F.when(F.contains(F.col(body), F.lit(DEMO_STATE)), DEMO_STATE).alias("last_known_location")).where("full_name <> ''")
+    return read.select("full_name", "age_range", scores.is_minor(F.col("age_range")).alias("is_minor"), "last_known_location", F.lit("missing").alias("status"), F.lit("C").alias("trust_tier"))
+
+
 def search_query(keywords: list[str], default: str) -> str:
     """Keywords joined by OR, phrases in quotes."""
     words = [f'"{k.strip()}"' if " " in k.strip() else k.strip() for k in keywords if k.strip()]
