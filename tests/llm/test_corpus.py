@@ -432,11 +432,51 @@ def test_chat_round_trip(spark):
     assert got[1]["formatted"].count("### ") == 2
 
 
-def test_pipeline_stages_keep_columns_and_rows(spark):
-    import corpus_pipeline
-
-    sf = "/root/testdata/sf0.001"
-    docs = spark.read.parquet(f"{sf}/documents.parquet")
-    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "near_dedup", "decontamination", "sentencepiece"]
-    out = corpus_pipeline.run(spark, sf).toPandas()
-    assert 0 < len(out) <= docs.count() and out.doc_id.is_unique and (out.n_tokens >= 1).all()
+def test_chat_of_an_empty_table_and_the_extra_conversation(spark, tmp_path):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert chat.format_conversations(none).count() == 0
+    spark.createDataFrame([(-7, 0, "user", "mine"), (1, 0, "assistant", "é#"), (1, 1, "assistant", "<next>"), (1, 2, "user", None)], none.schema).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = sorted((r["conv_id"], r["n_turns"], r["loss_chars"]) for r in queries.op10_chat(spark, str(tmp_path)).collect())
+    assert got == [(-7, 1, 0), (-7, 2, 26), (1, 3, 8)]
+
+
+def test_hosts_take_no_half_labels_and_one_reputation_a_host(spark, tmp_path):
+    urls = [(i, "http://bad.net:8080/x" if i % 2 else "http://u@bad.net/y") for i in range(40)] + [(100 + i, "http://half.net/z") for i in range(20)] * 2 + [(300 + i, "http://fine.net/") for i in range(60)]
+    spark.createDataFrame(urls, "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    labels = [(i, 0, 1) for i in range(20)] + [(100 + i, None, 1) for i in range(20)] + [(300 + i, 1, 0) for i in range(60)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.op5_hosts(spark, str(tmp_path)).collect()
+    assert {(r["host"], r["verdict"]) for r in got} == {("bad.net:8080", "block"), ("u@bad.net", "block"), ("half.net", "allow"), ("fine.net", "allow")} and len(got) == 140
+    import duckdb
+
+    con = duckdb.connect()
+    for name in ("pages", "labels"):
+        con.execute(f"create view {name} as select * from read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    want = con.execute(queries.oracle_sql()["op5_hosts"]).fetchall()
+    assert sorted((r["page_id"], r["verdict"]) for r in got) == sorted((r[0], r[4]) for r in want)
+
+
+def test_training_takes_one_text_of_a_repeated_id(spark):
+    from mergewell.llm.common import training_rows
+
+    docs = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (3, None)], "doc_id long, text string")
+    lab = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (3, 1), (None, 1), (4, None)], "doc_id long, y int")
+    first = training_rows(docs, lab, "y", 10)
+    assert first == training_rows(docs.repartition(5), lab, "y", 10) and len(first[0]) == len({t for t, _ in first[0]}) <= 2
+
+
+def test_rows_that_repeat_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(spots, "HOT_ROWS", 10)
+    monkeypatch.setattr(spots, "REPEATED", 7)
+    rows_ = [(1, "a b the c d e " * 5)] * 50 + [(None, None)] * 30 + [(i, f"of the cat {i} dog") for i in range(2, 20)] + [(5, "other")] * 12
+    docs = spark.createDataFrame(rows_, "doc_id long, text string").repartition(5)
+    ordered = sorted(rows_, key=lambda r: (r[0] is not None, r[0] or 0, sha256((r[1] or "").encode()).digest()[:16]), reverse=True)
+    want = []
+    for i, (doc_id, own) in enumerate(ordered):
+        own, after = own or "", ordered[(i + 1) % len(ordered)][1] or ""
+        third = len(own) // 3
+        want.append((doc_id, sha256((own[: len(own) - third] + after[:third]).encode()).hexdigest()))
+    for ranges in (1, 40, 2000):
+        got = [(r["doc_id"], r["edited_sha256"]) for r in spots.edited_fingerprints(docs, ranges).collect()]
+        assert sorted(got, key=str) == sorted(want, key=str)
+    assert spots.edited_fingerprints(docs.withColumn("doc_id", F.concat(F.lit("x"), "doc_id")), 4).count() == len(rows_)
