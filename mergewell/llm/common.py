@@ -49,13 +49,13 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
-def join_small(wide: DataFrame, found: DataFrame, key: str, how: str = "left") -> DataFrame:
+def join_small(wide: DataFrame, found: DataFrame, key: str, how: str = "left", values: int | None = None) -> DataFrame:
     """wide joined with found on key, of which found holds each value once; found must be materialised.
 
-    Up to BROADCAST_ROWS rows found is broadcast. Beyond, both sides are salted SALTS ways before the
-    shuffle, so that rows of one key are dealt to several tasks.
+    Up to BROADCAST_ROWS rows, or values in all where its rows hold arrays, found is broadcast. Beyond,
+    both sides are salted SALTS ways before the shuffle, so that rows of one key are dealt to several tasks.
     """
-    if found.count() <= BROADCAST_ROWS:
+    if (found.count() if values is None else values) <= BROADCAST_ROWS:
         return wide.join(F.broadcast(found), key, how)
     salt = free_name(wide, "salt")
     salted = wide.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
