@@ -99,40 +99,52 @@ def benchmark_windows(benchmark: DataFrame, item_id: str = "item_id", text: str
 PARTS = 4
 
 
-def _anchors(windows: DataFrame) -> DataFrame:
-    """(item, kind, parts, part, a): hashes of words of which a text that matches an item has one of every part.
+#: Texts, drawn by hash, on which words are counted to tell rare ones; this decides only how many texts the first step lets through.
+SAMPLED = 2000
 
-    Each window stands for its longest literal token. Of the windows whose tokens are longest, and so
-    rarest, up to PARTS sets are made, each of one more window than a match may lack: it has a window of
-    every set.
+
+def _words() -> Column:
+    """The distinct words of a text that can be literal tokens of its windows."""
+    return F.array_distinct(F.split(F.regexp_replace(F.lower(_clean(F.col("body"))), NUMBERS, " "), APART))
+
+
+def _anchors(windows: DataFrame, keyed: DataFrame, total: int, rows: int, few: bool) -> DataFrame:
+    """(a, form, bit, full): hashes of words of which a text that matches an item has one of every part; form is the hash of (item, kind).
+
+    Each window stands for its rarest literal token in a sample of the texts. Of the windows whose tokens
+    are rarest, up to PARTS sets are made, each of one more window than a match may lack: a match has a
+    window of every set. bit is the set's, full that of all sets of the form.
     """
-    form = Window.partitionBy("item", "kind")
     literal = F.filter(F.split("gram", " "), lambda t: ~t.isin(*MARKS.values()))
-    longest = F.array_max(F.transform(literal, lambda t: F.struct(F.length(t).alias("length"), t.alias("token"))))
-    spare = F.expr(f"n - (n * {round(OVERLAP * 10)} + 9) div 10")
-    sized = windows.select("item", "kind", "p", longest.alias("longest"), F.count("*").over(form).alias("n")).withColumn("size", spare + 1)
+    tokens = cut_lineage(windows.select("item", "kind", "p", F.explode(literal).alias("token")).withColumn("a", F.xxhash64("token")), 3 * rows)
+    known = tokens.select("a").distinct()
+    sample = keyed.where(F.pmod(F.xxhash64("body"), F.lit(max(1, total // SAMPLED))) == 0).select(F.explode(_words()).alias("word"))
+    met = sample.select(F.xxhash64("word").alias("a")).join(F.broadcast(known) if few else known, "a", "left_semi").groupBy("a").agg(F.count("*").alias("texts"))
+    rarity = F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), (-F.length("token")).alias("short"), F.col("a").alias("a"))
+    rarest = tokens.join(met, "a", "left").groupBy("item", "kind", "p").agg(F.min(rarity).alias("rarest"))
+    form = Window.partitionBy("item", "kind")
+    sized = rarest.withColumn("n", F.count("*").over(form)).withColumn("size", F.expr(f"n - (n * {round(OVERLAP * 10)} + 9) div 10 + 1"))
     parts = F.least(F.lit(PARTS).cast("long"), F.expr("n div size"))
-    best = sized.withColumn("parts", parts).withColumn("rank", F.row_number().over(form.orderBy(F.desc("longest"), "p"))).where(F.col("rank") <= F.col("parts") * F.col("size"))
-    placed = best.withColumn("part", F.floor((F.row_number().over(form.orderBy("p")) - 1) / F.col("size")))
-    return placed.select("item", "kind", "parts", "part", F.xxhash64("longest.token").alias("a")).distinct()
+    best = sized.withColumn("parts", parts).withColumn("rank", F.row_number().over(form.orderBy("rarest", "p"))).where(F.col("rank") <= F.col("parts") * F.col("size"))
+    placed = best.withColumn("part", F.floor((F.row_number().over(form.orderBy("p")) - 1) / F.col("size")).cast("int"))
+    return placed.select(F.col("rarest.a").alias("a"), F.xxhash64("item", "kind").alias("form"), F.expr("shiftleft(1, part)").alias("bit"), F.expr("shiftleft(1, int(parts)) - 1").alias("full")).distinct()
 
 
-def _possible_texts(keyed: DataFrame, windows: DataFrame, rows: int, few: bool) -> DataFrame:
+def _possible_texts(keyed: DataFrame, windows: DataFrame, total: int, rows: int, few: bool) -> DataFrame:
     """(th, kind, body), clean, once for each text of (th, body) and form that may hold an item; none that matches is missing.
 
     All texts are read for single words: a text must have an anchor of every part of an item. The words
     of those that do are then held against all windows of the item: no more windows than a match may
     lack can have a word that the text lacks. Only what is left is cut into windows.
     """
-    anchors = cut_lineage(_anchors(windows), rows)
-    words = F.array_distinct(F.split(F.regexp_replace(F.lower(_clean(F.col("body"))), NUMBERS, " "), APART))
-    met = keyed.select("th", F.explode(words).alias("word")).select("th", F.xxhash64("word").alias("a")).join(F.broadcast(anchors) if few else anchors, "a")
-    counted = met.groupBy("th", "item", "kind", "parts").agg(F.size(F.collect_set("part")).alias("found"))
-    pairs = cut_lineage(counted.where(F.col("found") == F.col("parts")).select("th", "item", "kind"))
+    anchors = cut_lineage(_anchors(windows, keyed, total, rows, few), rows)
+    met = keyed.select("th", F.explode(_words()).alias("word")).select("th", F.xxhash64("word").alias("a")).join(F.broadcast(anchors) if few else anchors, "a")
+    counted = met.groupBy("th", "form", "full").agg(F.bit_or("bit").alias("bits"))
+    pairs = cut_lineage(counted.where("bits = full").select("th", "form"))
     texts = cut_lineage(join_small(keyed, cut_lineage(pairs.select("th").distinct()), "th", "left_semi").groupBy("th").agg(F.min("body").alias("body")))
     literal = F.filter(F.split("gram", " "), lambda t: ~t.isin(*MARKS.values()))
-    forms = windows.groupBy("item", "kind").agg(F.collect_list(literal).alias("held"))
-    sided = spread(pairs).join(texts.select("th", words.alias("words")), "th").join(forms, ["item", "kind"])
+    forms = windows.groupBy("item", "kind").agg(F.collect_list(literal).alias("held")).withColumn("form", F.xxhash64("item", "kind"))
+    sided = spread(pairs).join(texts.select("th", _words().alias("words")), "th").join(forms, "form")
     missing = F.array(F.array_except(F.array_distinct(F.flatten("held")), "words"))
     lacking = F.get(F.transform(missing, lambda m: F.size(F.filter("held", lambda w: F.arrays_overlap(w, m)))), F.lit(0))
     wanted = cut_lineage(sided.where(F.size("held") - lacking >= F.size("held") * OVERLAP).select("th", "kind").distinct())
@@ -171,7 +183,7 @@ def contaminated_texts(documents: DataFrame, benchmark: DataFrame, text: str = "
         wanted, sized, short = F.broadcast(wanted), F.broadcast(sized), F.broadcast(short)
     bodies = documents.where(F.col(text).isNotNull()).select(F.col(text).alias("body"))
     keyed = bodies.select(text_key(F.col("body")).alias("th"), "body")
-    possible_texts = _possible_texts(keyed, windows, 128 * benchmark.count(), few)
+    possible_texts = _possible_texts(keyed, windows, documents.count(), 128 * benchmark.count(), few)
     placed = _grams(possible_texts, "th").select("th", "kind", F.col("p").alias("q"), "gram")
     met = placed.withColumn("w", _word()).drop("kind").join(wanted, "w").where("gram = same").groupBy("th", "item", "kind", "p").agg(F.collect_set(F.col("q") - F.col("p")).alias("shifts"))
     held = met.groupBy("th", "item", "kind").agg(F.count("*").alias("found"), F.collect_list(F.struct("p", "shifts")).alias("places"))
