@@ -32,43 +32,53 @@ def _scored(spark: SparkSession, sf_dir: str, train, threshold: float) -> DataFr
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; null and empty texts are scored as empty, repeated rows alike. An empty table gives an empty result."""
     return _scored(spark, sf_dir, quality.train_quality, 0.3)
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 15 of every row, null and repeated ones included, under law `bytes`. An empty table gives an empty result."""
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; null and empty texts are scored as empty, repeated rows alike. An empty table gives an empty result."""
     return _scored(spark, sf_dir, toxicity.train_toxicity, 0.5)
 
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each document holds a benchmark item; null and empty texts hold none, repeated rows and items count as often and once. Empty tables give an empty or a clean result."""
     return decontaminate.decontamination_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
 def op5_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The verdict on each page; null urls have an empty host and path, labels with a null are no evidence. Empty tables give an empty result or allow."""
     return hosts.judge_pages(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document; null and empty texts have fingerprint zero. An empty table gives an empty result."""
     found = near_dup.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What line dedup leaves of each document; a null text has no lines and stays null. An empty table gives an empty result."""
     return line_templates.line_report(_table(spark, sf_dir, "documents"))
 
 
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of each document and its edited text; a null text is empty, equal ids follow one another by text. An empty table gives an empty result."""
     return spots.edited_fingerprints(_table(spark, sf_dir, "documents"))
 
 
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of each whole text, as digests; a null text is empty. An empty table gives an empty result."""
     return tokens.tokenise(_table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted and read back; null texts and roles are empty, repeated rows are repeated turns. An empty table leaves the extra conversation."""
     said = r"\### Assistant: </turn> ok"
     extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
     rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text", F.lit(False).alias("extra")).unionByName(extra.withColumn("extra", F.lit(True)))

@@ -90,7 +90,8 @@ def similar_documents(documents: DataFrame, doc_id: str = "doc_id", text: str =
     length into bands whose borders lie a factor of `least` apart, so similar sets fall into the same or
     the next band. Each set is indexed under its rarest signatures, as many as two similar sets can't
     both lack; matches in the band or the next meet in an equality join, are pruned by length and then
-    compared in full. No set meets all others.
+    compared in full. Sets of one signature alone that all share are one class from the start. Null texts
+    count as empty; rows that repeat are returned as often; ids that are null name no class of others.
     """
     from math import log
 
