@@ -97,6 +97,16 @@ def _class(chars: str) -> str:
     return "[" + "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in out) + "]"
 
 
+def load_abbreviations(path: str) -> dict[str, str]:
+    """Abbreviation to word, in lower case, from a JSON object; ABBREVIATIONS where the file is missing or holds none."""
+    import json
+    from pathlib import Path
+
+    file = Path(path)
+    found = json.loads(file.read_text(encoding="utf-8")) if file.is_file() else None
+    return {str(k).lower(): str(v) for k, v in found.items()} if isinstance(found, dict) and found else ABBREVIATIONS
+
+
 def expand_abbreviations(text: Column, mapping: dict[str, str] = ABBREVIATIONS) -> Column:
     """Tokens looked up in lower case, with or without a final full stop; everything else stays, white space collapses."""
     table = F.create_map(*[F.lit(x) for k, v in mapping.items() for x in (k.lower(), v)])
@@ -150,7 +160,11 @@ def metaphone(name: str) -> str:
         elif c == "B":
             code, step = "P", 2 if after == "B" else 1
         elif c == "C":
-            if two == "CH":
+            if i == 0 and s[:6] == "CAESAR":
+                code, step = "S", 2
+            elif s[i : i + 4] == "CHIA" or (i > 0 and s[i : i + 4] == "CHAE"):
+                code, step = "K", 2
+            elif two == "CH":
                 code, step = ("K" if s[i + 2 : i + 3] in ("R", "L") else "X"), 2
             elif s[i + 1 : i + 3] == "IA":
                 code, step = "X", 3
@@ -165,7 +179,8 @@ def metaphone(name: str) -> str:
                 code, step = "T", 2 if after and after in "DT" else 1
         elif c == "G":
             if after == "H":
-                code, step = ("K" if i == 0 or not vowel(i - 1) else ""), 2
+                rough = i > 2 and s[i - 1] == "U" and s[i - 3] in "CGLRT"
+                code, step = ("K" if i == 0 or not vowel(i - 1) else "F" if rough else ""), 2
             elif after == "N":
                 code, step = "N" if i else "KN", 2
             elif after and after in "EIY":
@@ -183,7 +198,13 @@ def metaphone(name: str) -> str:
         elif c == "Q":
             code, step = "K", 2 if after == "Q" else 1
         elif c == "S":
-            if two == "SH" or s[i : i + 3] in ("SIO", "SIA"):
+            if s[max(0, i - 1) : i + 2] in ("ISL", "YSL"):
+                code = ""
+            elif i == 0 and s[:5] == "SUGAR":
+                code = "X"
+            elif s[i : i + 3] == "SCH" and s[i + 3 : i + 5] not in ("OO", "ER", "EN", "UY", "ED", "EM"):
+                code, step = "X", 3
+            elif two == "SH" or s[i : i + 3] in ("SIO", "SIA"):
                 code, step = "X" if two == "SH" else "S", 2 if two == "SH" else 3
             elif s[i : i + 3] == "SCH":
                 code, step = "SK", 3
@@ -195,7 +216,7 @@ def metaphone(name: str) -> str:
             if s[i : i + 4] == "TION" or s[i : i + 3] in ("TIA", "TCH"):
                 code, step = "X", 3
             elif two == "TH":
-                code, step = "0", 2
+                code, step = "T" if s[i + 2 : i + 4] in ("OM", "AM") else "0", 2
             else:
                 code, step = "T", 2 if after and after in "TD" else 1
         elif c == "V":
@@ -206,6 +227,8 @@ def metaphone(name: str) -> str:
             code, step = "S" if i == 0 else "KS", 2 if after and after in "CX" else 1
         elif c == "Z":
             code, step = ("J", 2) if after == "H" else ("S", 2 if after == "Z" else 1)
+        elif c == "R" and i == len(s) - 1 and s[i - 2 : i] == "IE" and s[i - 4 : i - 2] not in ("ME", "MA"):
+            pass
         else:
             code, step = {"F": "F", "K": "K", "M": "M", "N": "N", "R": "R"}[c], 2 if after == c else 1
         out.append(code)

@@ -110,3 +110,25 @@ def merge_candidates(existing: DataFrame, found: DataFrame) -> DataFrame:
         F.coalesce("left_id", "low_id").alias("left_id"), F.coalesce("right_id", "high_id").alias("right_id"), "blocking_key", F.coalesce("s", "score").alias("score"),
         F.coalesce("re", "reasons").alias("reasons"), F.coalesce("p", "priority").alias("priority"), F.coalesce("decision", F.lit("pending")).alias("decision"),
     )
+
+
+#: What an edge must have to be stored, and the priority of one that says none.
+EDGE_REQUIRED, DEFAULT_PRIORITY = ("left_id", "right_id", "blocking_key", "score"), 2
+
+
+def edge_rows(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges as they are stored, pending and not touching gold, and those that lack a required value (null, empty or zero) or join a record with itself."""
+    lacking = F.lit(False)
+    for c in EDGE_REQUIRED:
+        text = F.col(c).cast("string")
+        lacking = lacking | F.col(c).isNull() | (F.trim(text) == "") | (F.col(c).try_cast("double").eqNullSafe(0.0) if c == "score" else F.lit(False))
+    lacking = lacking | F.col("left_id").eqNullSafe(F.col("right_id"))
+    stored = found.where(~lacking).withColumns({"priority": F.coalesce("priority", F.lit(DEFAULT_PRIORITY)), "decision": F.lit("pending"), "touches_gold": F.lit(False)})
+    return stored, found.where(lacking)
+
+
+def mark_gold(edges: DataFrame, members: DataFrame) -> DataFrame:
+    """edges with touches_gold set where either record is in a gold cluster."""
+    ids = members.select(F.col("id").alias("gold_member")).distinct()
+    ends = edges.select("left_id", "right_id", F.explode(F.array("left_id", "right_id")).alias("gold_member")).join(ids, "gold_member", "left_semi").select("left_id", "right_id").distinct().withColumn("gold", F.lit(True))
+    return edges.drop("touches_gold").join(ends, ["left_id", "right_id"], "left").withColumn("touches_gold", F.coalesce("gold", F.lit(False))).drop("gold")

@@ -415,6 +415,17 @@ def merge_edges(spark, sf_dir):
     return merged.select(F.least("left_id", "right_id").alias("left_id"), F.greatest("left_id", "right_id").alias("right_id"), "decision")
 
 
+@query("select o_orderkey::varchar as left_id, case when o_orderkey % 7 = 0 then 'lacking' else 'pending' end as decision, case when o_orderkey % 7 <> 0 then o_custkey % 2 = 0 end as touches_gold, case when o_orderkey % 7 <> 0 then case when o_orderkey % 3 = 0 then 1 else 2 end end as priority from orders")
+def edge_rows(spark, sf_dir):
+    k = F.col("o_orderkey")
+    found = table(spark, sf_dir, "orders").select(k.cast("string").alias("left_id"), F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("right_id"), F.lit("b").alias("blocking_key"), F.when(k % 7 == 0, 0.0).otherwise(0.9).alias("score"), F.when(k % 3 == 0, 1).alias("priority"))
+    stored, lacking = candidates.edge_rows(found)
+    gold_ids = table(spark, sf_dir, "orders").where("o_custkey % 2 = 0").select(F.concat(F.lit("c"), F.col("o_custkey").cast("string")).alias("id"))
+    marked = candidates.mark_gold(stored, gold_ids).select("left_id", "decision", "touches_gold", "priority")
+    none = lacking.select("left_id", F.lit("lacking").alias("decision"), F.lit(None).cast("boolean").alias("touches_gold"), F.lit(None).cast("int").alias("priority"))
+    return marked.unionByName(none)
+
+
 @query("select n_nationkey as node, min(n_nationkey) over (partition by n_regionkey) as component from nation")
 def connected_components(spark, sf_dir):
     n = table(spark, sf_dir, "nation")

@@ -170,3 +170,18 @@ def test_routes_and_seeds_of_odd_rows(spark):
     rows = spark.createDataFrame([("1", "person", "{}"), ("", "person", "{}"), ("2", "person", None), ("3", "person", "[]"), ("4", None, "{}"), ("5", "event", "{}")], "id string, entity_type string, raw_json string")
     assert {r["id"]: r["route"] for r in records.route(rows).collect()} == {"1": "person", "": "malformed", "2": "malformed", "3": "malformed", "4": "unknown", "5": "event"}
     assert [r["event_id"] for r in records.seed_events(rows, rows.select(F.col("id").alias("event_id")), "E").collect()] == ["E"]
+
+
+#: Published primary codes.
+CODES = {"smith": "SM0", "schmidt": "XMT", "jose": "HS", "gonzalez": "KNSLS", "thomas": "TMS", "rodriguez": "RTRKS", "hernandez": "HRNNTS", "philip": "FLP", "xavier": "SF", "wright": "RT", "williams": "ALMS", "johnson": "JNSN", "campbell": "KMPL", "edgar": "ATKR", "laugh": "LF", "caesar": "SSR", "chianti": "KNT", "michael": "MKL", "sugar": "XKR", "island": "ALNT", "castro": "KSTR"}
+
+
+def test_metaphone_of_known_names():
+    assert {n: text.metaphone(n) for n in CODES} == CODES
+
+
+def test_abbreviations_from_json(tmp_path):
+    (tmp_path / "a.json").write_text('{"Edo": "Estado", "X": "Y"}')
+    (tmp_path / "b.json").write_text("{}")
+    assert text.load_abbreviations(str(tmp_path / "a.json")) == {"edo": "Estado", "x": "Y"}
+    assert text.load_abbreviations(str(tmp_path / "b.json")) == text.load_abbreviations(str(tmp_path / "no")) == text.ABBREVIATIONS
