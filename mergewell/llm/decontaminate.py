@@ -121,7 +121,7 @@ def _anchors(windows: DataFrame, keyed: DataFrame, total: int, rows: int, few: b
     sample = keyed.where(F.pmod(F.xxhash64("body"), F.lit(max(1, total // SAMPLED))) == 0).select(F.explode(_words()).alias("word"))
     met = sample.select(F.xxhash64("word").alias("a")).join(F.broadcast(known) if few else known, "a", "left_semi").groupBy("a").agg(F.count("*").alias("texts"))
     rarity = F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), (-F.length("token")).alias("short"), F.col("a").alias("a"))
-    rarest = tokens.join(met, "a", "left").groupBy("item", "kind", "p").agg(F.min(rarity).alias("rarest"))
+    rarest = tokens.join(F.broadcast(met) if few else met, "a", "left").groupBy("item", "kind", "p").agg(F.min(rarity).alias("rarest"))
     form = Window.partitionBy("item", "kind")
     sized = rarest.withColumn("n", F.count("*").over(form)).withColumn("size", F.expr(f"n - (n * {round(OVERLAP * 10)} + 9) div 10 + 1"))
     parts = F.least(F.lit(PARTS).cast("long"), F.expr("n div size"))
