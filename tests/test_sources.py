@@ -78,8 +78,8 @@ def test_api_persons(spark):
 
 
 def test_config(spark):
-    good = {"id": "1", "name": "n", "type": "api", "enabled": True, "trust_tier": "A", "url": "u", "refresh_minutes": 5}
-    assert config.validate_sources([good, {"id": "2", "parser_asignado": "p", "enabled": True}]) == []
+    good = {"id": "1", "name": "n", "type": "api_json", "enabled": True, "trust_tier": "A", "url": "u", "refresh_minutes": 5, "parser_asignado": "p"}
+    assert config.validate_sources([good, {"id": "11111111-1111-4111-8111-111111111111", "parser_asignado": "p", "enabled": True}]) == []
     assert len(config.validate_sources([good, good | {"type": "x", "trust_tier": "Z"}])) == 3
     thin = spark.createDataFrame([("1", True)], "id string, enabled boolean")
     table = spark.createDataFrame([("1", "u", False)], "source_id string, url string, active boolean")
