@@ -7,8 +7,10 @@ from collections.abc import Iterable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rows of (key, a few numbers) up to which a join broadcasts, and the parts into which it deals each key beyond.
-BROADCAST_ROWS, SALTS = 500_000, 16
+from mergewell.session import cut_lineage
+
+#: Rows of (key, a few numbers) up to which a join broadcasts; beyond, rows of a key from which it is joined apart.
+BROADCAST_ROWS, HOT_ROWS = 500_000, 10_000
 
 
 def remainder(doc_id: Column) -> Column:
@@ -53,14 +55,17 @@ def join_small(wide: DataFrame, found: DataFrame, key: str, how: str = "left", v
     """wide joined with found on key, of which found holds each value once; found must be materialised.
 
     Up to BROADCAST_ROWS rows, or values in all where its rows hold arrays, found is broadcast. Beyond,
-    both sides are salted SALTS ways before the shuffle, so that rows of one key are dealt to several tasks.
+    both sides are shuffled by the key, but for keys with more than HOT_ROWS rows in wide: their few rows
+    of found are broadcast, so no task gets all rows of a hot key. Null keys match nothing and are not shuffled.
     """
     if (found.count() if values is None else values) <= BROADCAST_ROWS:
         return wide.join(F.broadcast(found), key, how)
-    salt = free_name(wide, "salt")
-    salted = wide.withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"))
-    spread = found.withColumn(salt, F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    return salted.join(spread, [key, salt], how).drop(salt)
+    hot = cut_lineage(wide.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows")).where(F.col("rows") > HOT_ROWS).select(key))
+    listed = F.broadcast(hot)  # a row for HOT_ROWS rows of wide
+    cold = wide.where(F.col(key).isNotNull()).join(listed, key, "left_anti").join(found, key, how)
+    apart = wide.join(listed, key, "left_semi").join(F.broadcast(found.join(listed, key, "left_semi")), key, how)
+    without = wide.where(F.col(key).isNull()).join(F.broadcast(found.limit(0)), key, how)
+    return cold.unionByName(apart).unionByName(without)
 
 
 def training_rows(documents: DataFrame, labels: DataFrame, label: str, per_class: int) -> tuple[list[tuple[bytes, bool]], dict[bool, int]]:

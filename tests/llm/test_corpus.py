@@ -480,3 +480,16 @@ def test_rows_that_repeat_are_spread(spark, monkeypatch):
         got = [(r["doc_id"], r["edited_sha256"]) for r in spots.edited_fingerprints(docs, ranges).collect()]
         assert sorted(got, key=str) == sorted(want, key=str)
     assert spots.edited_fingerprints(docs.withColumn("doc_id", F.concat(F.lit("x"), "doc_id")), 4).count() == len(rows_)
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+def test_joins_of_large_tables_keep_hot_and_null_keys(spark, how, monkeypatch):
+    from mergewell.llm import common
+
+    wide = spark.createDataFrame([("a", i) for i in range(40)] + [("b", i) for i in range(3)] + [("c", 0), (None, 1), (None, 2)], "k string, rows int")
+    found = spark.createDataFrame([("a", 1), ("b", 2), ("d", 3)], "k string, v int")
+    want = sorted(wide.join(found, "k", how).collect(), key=str)
+    assert sorted(common.join_small(wide, found, "k", how).collect(), key=str) == want
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    assert sorted(common.join_small(wide, found, "k", how).collect(), key=str) == want

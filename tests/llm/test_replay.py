@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import pytest
@@ -163,6 +164,7 @@ def test_spot_signatures_equal_a_plain_version(docs):
 # 4 and the pipeline
 
 
+@lru_cache(maxsize=None)
 def plain_template(text, kind):
     inside = r"\p{L}\p{M}\p{N}"
     body = (text or "").translate(str.maketrans("\x01\x02\x03", "   "))
@@ -184,6 +186,14 @@ def plain_windows(form):
     return [(p, tuple(form[p : p + 5])) for p in range(len(form) - 4)]
 
 
+@lru_cache(maxsize=None)
+def plain_places(text, kind):
+    places = defaultdict(list)
+    for q, w in plain_windows(plain_template(text, kind)[0]):
+        places[w].append(q)
+    return places
+
+
 def plain_matches(doc, item):
     """Whether a text holds an item, by all alignments of all windows."""
     any_window = False
@@ -192,9 +202,7 @@ def plain_matches(doc, item):
         mine = {p: w for p, w in plain_windows(form) if sum(t not in "nNu" or len(t) > 1 for t in w) >= decontaminate.MIN_LITERALS}
         any_window |= bool(mine)
         own_form, own_runs = plain_template(doc, kind)
-        places = defaultdict(list)
-        for q, w in plain_windows(own_form):
-            places[w].append(q)
+        places = plain_places(doc, kind)
         shifts = {p: {q - p for q in places.get(w, ())} for p, w in mine.items()}
         strength = Counter(s for x in shifts.values() for s in x)
         for base, drift in {(s, 0) for s in strength} | {(s - d, decontaminate.DRIFT) for s in strength for d in range(decontaminate.DRIFT + 1)}:
