@@ -58,7 +58,15 @@ def cut_scan(df: DataFrame, source: DataFrame, share: int = 8) -> DataFrame:
     return df.repartition(max(1, -(-source.rdd.getNumPartitions() // share))).checkpoint(eager=True)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """df, dealt evenly to one task a core where its scan has fewer tasks than the cluster has cores; else as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+#: Bytes of a file, or rows where their number is given, that are worth a task of their own.
+TASK_BYTES, TASK_ROWS = 1 << 20, 16
+
+
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """df, dealt evenly to more tasks where it has fewer than the cluster has cores and is worth it by its files' size, or by rows; else as it is."""
+    if rows is None:
+        worth = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) // TASK_BYTES
+    else:
+        worth = rows // TASK_ROWS
+    wanted = min(df.sparkSession.sparkContext.defaultParallelism, worth)
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
