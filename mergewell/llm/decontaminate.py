@@ -144,11 +144,11 @@ def _possible_texts(keyed: DataFrame, windows: DataFrame, total: int, rows: int,
     texts = cut_lineage(join_small(keyed, cut_lineage(pairs.select("th").distinct()), "th", "left_semi").groupBy("th").agg(F.min("body").alias("body")))
     literal = F.filter(F.split("gram", " "), lambda t: ~t.isin(*MARKS.values()))
     forms = windows.groupBy("item", "kind").agg(F.collect_list(literal).alias("held")).withColumn("form", F.xxhash64("item", "kind"))
-    sided = spread(pairs).join(texts.select("th", _words().alias("words")), "th").join(forms, "form")
+    sided = spread(pairs, pairs.count()).join(texts.select("th", _words().alias("words")), "th").join(forms, "form")
     missing = F.array(F.array_except(F.array_distinct(F.flatten("held")), "words"))
     lacking = F.get(F.transform(missing, lambda m: F.size(F.filter("held", lambda w: F.arrays_overlap(w, m)))), F.lit(0))
     wanted = cut_lineage(sided.where(F.size("held") - lacking >= F.size("held") * OVERLAP).select("th", "kind").distinct())
-    return spread(cut_lineage(_kinds(texts, "th").join(wanted, ["th", "kind"], "left_semi")))
+    return spread(cut_lineage(_kinds(texts, "th").join(wanted, ["th", "kind"], "left_semi")), wanted.count())
 
 
 def _whole(lowered: Column) -> Column:
