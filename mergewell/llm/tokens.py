@@ -15,8 +15,10 @@ from mergewell.llm.common import chunks, text_bytes
 SPACE = "▁"
 #: Texts on which a model must agree with the library before it is used: normalisation that this module does not do would show here.
 PROBES = ("", " ", "a", "  two  spaces ", "line\none\ttab\rend ", "\uff21\uff22 \ufb01n \u2460 e\u0301 \u00e9", "\u3000wide\u00a0hard\u200bzero", "<s></s><unk> 0x41 \u2581\u2581x", "AbC dEf", "\U0001f600\u4e2d\u6587\x00\x01\ufffd", "aaaaaaaaaaaa", "don't stop-it, 3.14!")
+#: Symbols that the rounds merge at a time, or those of one longer word.
+BLOCK = 1 << 18
 #: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 
 
 class PieceModel:
@@ -240,7 +242,16 @@ class Encoder:
         self.start = np.zeros(1, np.int64)
 
     def _learn(self, words: list[str]) -> None:
-        ids, lengths = self.model.encode_words(words)
+        """Merges the words in blocks of about BLOCK symbols, so that the arrays of a round stay small."""
+        blocks, size = [[]], 0
+        for word in words:
+            if size and size + len(word) > BLOCK:
+                blocks.append([])
+                size = 0
+            blocks[-1].append(word)
+            size += len(word)
+        made = [self.model.encode_words(block) for block in blocks]
+        ids, lengths = (np.concatenate(x) for x in zip(*made))
         ends = lengths.cumsum()
         shown = list(map(str, ids.tolist()))
         known = len(self.texts)
@@ -289,7 +300,7 @@ def tokenise(documents: DataFrame, path: str, doc_id: str = "doc_id", text: str
         encoder = Encoder(model)
         for batch in batches:
             done = 0
-            for part in chunks(text_bytes(batch.column(1)), 2 << 20):
+            for part in chunks(text_bytes(batch.column(1)), 1 << 20):
                 found = encoder.encode(part)
                 columns = [
                     batch.column(0).slice(done, len(part)).cast(pa.int64()), pa.array([len(ids) for ids, _ in found], pa.int64()),
