@@ -16,9 +16,9 @@ SPACE = "▁"
 #: Texts on which a model must agree with the library before it is used: normalisation that this module does not do would show here.
 PROBES = ("", " ", "a", "  two  spaces ", "line\none\ttab\rend ", "\uff21\uff22 \ufb01n \u2460 e\u0301 \u00e9", "\u3000wide\u00a0hard\u200bzero", "<s></s><unk> 0x41 \u2581\u2581x", "AbC dEf", "\U0001f600\u4e2d\u6587\x00\x01\ufffd", "aaaaaaaaaaaa", "don't stop-it, 3.14!")
 #: Symbols that the rounds merge at a time, or those of one longer word.
-BLOCK = 1 << 18
+BLOCK = 1 << 20
 #: Distinct words that a task remembers before it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 250_000
 
 
 class PieceModel:
