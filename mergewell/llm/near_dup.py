@@ -22,20 +22,26 @@ SEGMENT_BITS = 32
 STAR_FROM = 4096
 
 
-def fingerprint_of(text: bytes, width: int) -> int:
+def hashes_of(text: bytes, width: int) -> np.ndarray:
+    """The hash of each word shingle, repeats included; a shorter text is one shingle, a text without words has the one hash 0."""
     words = text.lower().split()  # bytes.lower() and bytes.split() know ASCII only
     if not words:
-        return 0
-    hashed = xxhash.xxh64_intdigest
-    if len(words) < width:
-        bits = np.array([hashed(b" ".join(words), 42)], ">u8")
-    else:
-        bits = np.fromiter((hashed(b" ".join(words[i : i + width]), 42) for i in range(len(words) - width + 1)), ">u8", len(words) - width + 1)
+        return np.zeros(1, np.uint64)
+    hashed, n = xxhash.xxh64_intdigest, max(1, len(words) - width + 1)
+    return np.fromiter((hashed(b" ".join(words[i : i + width]), 42) for i in range(n)), np.uint64, n)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that are set in over half the hashes."""
     total = np.zeros(64, np.int64)
-    for i in range(0, len(bits), 65536):
-        part = np.unpackbits(np.ascontiguousarray(bits[i : i + 65536]).view(np.uint8).reshape(-1, 8), axis=1)
+    for i in range(0, len(hashes), 65536):
+        part = np.unpackbits(hashes[i : i + 65536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
         total += part.sum(0, dtype=np.int64)
-    return int.from_bytes(np.packbits(total * 2 > len(bits)).tobytes(), "big")
+    return int.from_bytes(np.packbits(total * 2 > len(hashes)).tobytes(), "big")
+
+
+def fingerprint_of(text: bytes, width: int) -> int:
+    return majority(hashes_of(text, width))
 
 
 def fingerprints(documents: DataFrame, text: str = "text", width: int = 3, into: str = "fp") -> DataFrame:
@@ -140,12 +146,8 @@ _FACTORS = np.random.default_rng(42).integers(1, 1 << 32, BANDS * ROWS, np.uint3
 
 
 def shingles_of(text: bytes, width: int) -> np.ndarray:
-    """The sorted distinct hashes of the word shingles; a shorter text is one shingle, a text without words has the shingle 0."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(1, np.uint64)
-    hashed = xxhash.xxh64_intdigest
-    return np.unique(np.array([hashed(b" ".join(words[i : i + width]), 42) for i in range(max(1, len(words) - width + 1))], np.uint64))
+    """The sorted distinct hashes of the word shingles."""
+    return np.unique(hashes_of(text, width))
 
 
 def bands_of(shingles: np.ndarray) -> np.ndarray:
@@ -158,16 +160,20 @@ def bands_of(shingles: np.ndarray) -> np.ndarray:
 
 
 def _signed(documents: DataFrame, width: int) -> DataFrame:
-    """(k, x.s, x.n, x.bands): the 128-bit hash of each text's shingle set, its size and its keys."""
+    """(k, x.s, x.n, x.bands, x.fp): the 128-bit hash of each text's shingle set, its size, its keys and its SimHash."""
 
-    @arrow_udf("struct<s:binary,n:long,bands:array<long>>")
+    @arrow_udf("struct<s:binary,n:long,bands:array<long>,fp:long>")
     def signed(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for part in parts:
-            sets = [shingles_of(t, width) for t in text_bytes(part)]
+            sets, marks = [], []
+            for t in text_bytes(part):
+                hashes = hashes_of(t, width)
+                sets.append(np.unique(hashes))
+                marks.append(majority(hashes))
             bands = np.array([bands_of(x) for x in sets], np.uint64).reshape(-1)
             hashes = [xxhash.xxh3_128_digest(x.tobytes()) for x in sets]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(bands) + 1, BANDS), pa.int32()), pa.array(bands.view(np.int64)))
-            yield pa.StructArray.from_arrays([pa.array(hashes, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), lists], ["s", "n", "bands"])
+            yield pa.StructArray.from_arrays([pa.array(hashes, pa.binary()), pa.array([len(x) for x in sets], pa.int64()), lists, pa.array(np.array(marks, np.uint64).view(np.int64))], ["s", "n", "bands", "fp"])
 
     return documents.withColumn("x", signed("text")).select("k", "x.*")
 
@@ -196,23 +202,41 @@ def _near_enough(n: str, m: str) -> Column:
     return 10 * F.least(n, m) >= round(JACCARD * 10) * F.greatest(n, m)
 
 
+def _marked_alike(distinct: DataFrame, rows: int) -> DataFrame:
+    """The pairs (a, b) of sets that SimHash proposes: those of one fingerprint with the smallest of them, and the smallest ones of linked fingerprints."""
+    marks = cut_lineage(distinct.groupBy("fp").agg(F.min(F.struct("s", "n")).alias("x")), rows)
+    own = distinct.select("fp", "s", "n").join(marks, "fp").where(F.col("s") != F.col("x.s")).select("s", "n", F.col("x.s").alias("t"), F.col("x.n").alias("m"))
+    a, b = (marks.select(F.col("fp").alias(c), F.col("x.s").alias(s), F.col("x.n").alias(n)) for c, s, n in (("a", "s", "n"), ("b", "t", "m")))
+    met = links(marks.select("fp"), rows).join(a, "a").join(b, "b").select("s", "n", "t", "m")
+    return own.unionByName(met).where(_near_enough("n", "m")).select(F.col("s").alias("a"), F.col("t").alias("b")).distinct()
+
+
 def similar_classes(documents: DataFrame, width: int = 5) -> DataFrame:
     """(k, c) for every row of (k, text): c is the smallest k reachable through texts of a Jaccard similarity of JACCARD or more.
 
-    Candidates share a min-hash key; each is verified on the exact shingle sets. The texts of a key are
-    first compared with one of them, another in each of STARS rounds, so a large group of copies needs
-    no pairs; then every two texts of a key that are still in different classes are compared.
+    SimHash proposes first: texts of one fingerprint and those of fingerprints that `links` joins. Its
+    three bits do not reach down to JACCARD, so texts still apart that share a min-hash key are compared
+    too. Every candidate is verified on the exact shingle sets. The texts of a key are first compared
+    with one of them, another in each of STARS rounds, so a large group of copies needs no pairs; then
+    every two texts of a key that are still in different classes are compared.
     """
     marked = cut_scan(_signed(documents, width), documents)
     rows = marked.count()
-    distinct = cut_lineage(marked.groupBy("s").agg(F.min("k").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands")), rows)
+    distinct = cut_lineage(marked.groupBy("s").agg(F.min("k").alias("first"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.min("fp").alias("fp")), rows)
     keys = distinct.select("s", "n", F.posexplode("bands").alias("band", "key"))
     shared = keys.groupBy("band", "key").agg(F.count("*").alias("m")).where("m > 1").select("band", "key")
     met = cut_lineage(keys.join(shared, ["band", "key"]), BANDS * rows)
-    wanted = met.select("s").distinct()
+    proposed = cut_lineage(_marked_alike(distinct, rows), rows)
+    wanted = met.select("s").unionByName(proposed.select(F.explode(F.array("a", "b")).alias("s"))).distinct()
     texts = distinct.join(wanted, "s").select("s", F.col("first").alias("k"))
     sets = cut_lineage(_sets(documents.join(texts, "k").select("s", "text").dropDuplicates(["s"]), width))
-    named, edges = met.withColumn("c", F.col("s")), None
+
+    def classed(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+        components = cut_lineage(connected_components(edges, "a", "b", rows=rows), rows)
+        return components, cut_lineage(met.join(components, met["s"] == components["node"], "left").select("band", "key", "s", "n", F.coalesce("component", "s").alias("c")), BANDS * rows)
+
+    edges = cut_lineage(_alike(proposed, sets), rows)
+    components, named = classed(edges)
     for turn in range(STARS + 1):
         apart = named.groupBy("band", "key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min_by(F.struct("s", "n", "c"), F.xxhash64("s", F.lit(turn))).alias("centre")).where("low <> high")
         if turn < STARS:
@@ -222,11 +246,8 @@ def similar_classes(documents: DataFrame, width: int = 5) -> DataFrame:
             held = named.join(apart.select("band", "key"), ["band", "key"])
             left, right = held.select("band", "key", F.col("s").alias("a"), F.col("n").alias("na"), F.col("c").alias("ca")), held.select("band", "key", F.col("s").alias("b"), F.col("n").alias("nb"), F.col("c").alias("cb"))
             pairs = left.join(right, ["band", "key"]).where("a < b and ca <> cb").where(_near_enough("na", "nb")).select("a", "b")
-        found = cut_lineage(_alike(pairs.distinct(), sets), rows)
-        edges = found if edges is None else edges.unionByName(found)
-        components = connected_components(edges, "a", "b", rows=rows)
-        components = cut_lineage(components, rows)
-        named = cut_lineage(met.join(components, met["s"] == components["node"], "left").select("band", "key", "s", "n", F.coalesce("component", "s").alias("c")), BANDS * rows)
+        edges = edges.unionByName(cut_lineage(_alike(pairs.distinct(), sets), rows))
+        components, named = classed(edges)
     classes = distinct.join(components, distinct["s"] == components["node"], "left").select("s", "first", F.coalesce("component", "s").alias("c"))
     smallest = classes.groupBy("c").agg(F.min("first").alias("least"))
     final = cut_lineage(classes.join(smallest, "c").select("s", "least"), rows)
@@ -236,8 +257,7 @@ def similar_classes(documents: DataFrame, width: int = 5) -> DataFrame:
 def keep_first(documents: DataFrame, width: int = 3) -> DataFrame:
     """One document of each class of near copies: the one of the smallest id, of equal ids the one whose text's hash is smallest.
 
-    Near copies share JACCARD of their distinct shingles, and so do the copies of copies; SimHash and its
-    three bits belong to near_duplicates alone. Null and empty texts are near copies of one another.
+    Near copies share JACCARD of their distinct shingles, and so do the copies of copies (`similar_classes`). Null and empty texts are near copies of one another.
     Documents with a null id are compared like the others and come last; one stays where all ids of a
     class are null. Rows that repeat id and text count once. All columns, whatever their names, stay as
     they are; an empty table stays empty.

@@ -1,5 +1,6 @@
 """Every corpus operator against a plain version, and on rows that are null, empty, very long, tied, repeated or missing."""
 
+import os
 import random
 import zlib
 from hashlib import sha256
@@ -313,6 +314,16 @@ def test_kept_documents_equal_plain_jaccard(spark, stars, monkeypatch):
     assert {r["doc_id"] for r in near_dup.keep_first(docs, 5).collect()} == want and 12 < len(want) < len(texts)
 
 
+def test_near_dedup_takes_candidates_from_simhash(spark, monkeypatch):
+    """Without a common min-hash key, copies within three bits still meet through their fingerprints; those below JACCARD stay."""
+    monkeypatch.setattr(near_dup, "bands_of", lambda x: np.frombuffer(os.urandom(8 * 24), np.uint64))
+    words = prose(77, 2000).split()
+    texts = [" ".join(words), " ".join([*words[:900], "changed", *words[901:]]), " ".join(words + words), prose(78, 2000)]
+    marks = [near_dup.fingerprint_of(t.encode(), 5) for t in texts]
+    assert 0 < (marks[0] ^ marks[1]).bit_count() <= 3 < (marks[0] ^ marks[3]).bit_count()
+    assert sorted(r["doc_id"] for r in near_dup.keep_first(spark.createDataFrame(rows(texts), SCHEMA), 5).collect()) == [0, 3]
+
+
 # 7
 
 
