@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -24,6 +26,7 @@ FIELD_SCORES = {
 }
 
 
+@lru_cache(1 << 14)
 def jaro_winkler(a: str, b: str) -> float:
     """Winkler's similarity: prefixes of up to four characters lift Jaro values above 0.7."""
     if a == b:

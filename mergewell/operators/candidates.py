@@ -43,43 +43,109 @@ def _fields(prefix: str) -> dict[str, Column]:
     return {c: F.col(f"{prefix}.{c}") for c in ("name", "hmac", "partial", "place", "ages", "status")}
 
 
-#: Members of a block from which its pairs are dealt to several tasks, one for each so many members.
+#: Members of a group from which its pairs are dealt to several tasks, one for each so many members.
 HOT_BLOCK = 1000
+#: How far rounded scores may lie from the sums that the bounds below are made of.
+MARGIN = 1e-4
 
 
-def _pairs(persons: DataFrame, new_ids: DataFrame | None) -> DataFrame:
-    """(block_key, a, b): what is compared of the two records of each pair of a block, smaller id first.
+def _bound(a: Column, b: Column) -> Column:
+    """The most that Jaro-Winkler can give two names: n characters of which one at least is missing or moved give a Jaro value of 1 - 1 / 3n, and Winkler leaves 0.6 of what lacks."""
+    n = F.greatest(F.length(a), F.length(b))
+    return F.when(a == b, F.when(n > 0, 1.0).otherwise(0.0)).otherwise(1 - 0.2 / n)
 
-    The compared fields travel with the block keys, so pairs are made once, in one join, and never
-    shuffled. A block of more than HOT_BLOCK members is dealt to as many tasks as it has that many
-    members: each left record goes to one of them, each right one to all. With new_ids the left side
-    holds new records alone, and pairs of two old ones never arise.
+
+def _routes(threshold: float) -> dict[str, float] | None:
+    """What a pair may lack in all: of one full identifier, and of equal partial ones. None where a pair without either can reach the threshold."""
+    w = scores.WEIGHTS
+    most = sum(w.values()) - w["cedula"] - threshold + MARGIN
+    if most >= 0:
+        return None
+    return {k: v for k, v in {"full": most + w["cedula"], "partial": most + w["cedula"] * scores.PARTIAL_MATCH}.items() if v >= 0}
+
+
+def _agreeing(rows: DataFrame, kind: str, spare: float) -> DataFrame:
+    """The rows of (block_key, x) that have an identifier of that kind, with `on`, what two of them must have in common if they may lack no more than spare."""
+    w, x, p = scores.WEIGHTS, F.col("x"), F.col("x.partial")
+    parts, has = ([x["hmac"]], x["hmac"] != "") if kind == "full" else ([p["pattern"], p["digits"]], (p["kind"] == "partial") & p["pattern"].isNotNull() & p["digits"].isNotNull())
+    if spare < w["location"]:
+        parts, has = [*parts, x["place"]["state"]], has & (x["place"]["state"] != "")
+    if spare < w["location"] * 0.5:
+        parts, has = [*parts, x["place"]["city"]], has & (x["place"]["city"] != "")
+    if spare < w["status"]:
+        parts.append(F.coalesce(F.concat(F.lit("="), x["status"]), F.lit("")))
+    return rows.where(has).withColumn("on", F.array(*parts))
+
+
+def _met(rows: DataFrame, chosen: Column | None) -> DataFrame:
+    """(block_key, a, b) for the pairs of equal block_key and on, smaller id first; with chosen, those of which one at least is chosen.
+
+    A group of more than HOT_BLOCK members is dealt to as many tasks as it has that many members: each
+    left record goes to one of them, each right one to all.
     """
-    keyed = persons.where(F.trim("id") != "").select("id", F.explode(F.array_distinct(F.filter("block_keys", lambda k: k != ""))).alias("block_key")).distinct()
-    rows = keyed.join(comparable(persons), "id").select("block_key", F.struct("id", "name", "hmac", "partial", "place", "ages", "status").alias("x"))
-    if new_ids is not None:
-        fresh = new_ids.select("id", F.lit(True).alias("fresh")).distinct()
-        rows = rows.withColumn("id", F.col("x.id")).join(fresh, "id", "left").select("block_key", "x", F.coalesce("fresh", F.lit(False)).alias("fresh"))
-    hot = keyed.groupBy("block_key").agg(F.ceil(F.count("*") / HOT_BLOCK).cast("int").alias("tasks")).where("tasks > 1")
-    dealt = rows.join(F.broadcast(hot), "block_key", "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))  # a row for HOT_BLOCK members
-    left = dealt.withColumn("part", F.pmod(F.xxhash64("x.id"), F.col("tasks")).cast("int")).select("block_key", "part", F.col("x").alias("a"), *(["fresh"] if new_ids is not None else []))
-    right = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).select("block_key", "part", F.col("x").alias("b"), *([F.col("fresh").alias("also")] if new_ids is not None else []))
-    if new_ids is None:
-        return left.join(right, ["block_key", "part"]).where(F.col("a.id") < F.col("b.id")).select("block_key", "a", "b")
-    met = left.where("fresh").join(right, ["block_key", "part"]).where((F.col("a.id") != F.col("b.id")) & (~F.col("also") | (F.col("a.id") < F.col("b.id"))))
+    keys = ["block_key", "on"]
+    rows = rows.withColumn("taken", F.lit(True) if chosen is None else F.coalesce(chosen, F.lit(False)))
+    hot = rows.groupBy(*keys).agg(F.ceil(F.count("*") / HOT_BLOCK).cast("int").alias("tasks")).where("tasks > 1")
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn("tasks", F.coalesce("tasks", F.lit(1)))  # a row for HOT_BLOCK members
+    left = dealt.where("taken").withColumn("part", F.pmod(F.xxhash64("x.id"), F.col("tasks")).cast("int")).select(*keys, "part", F.col("x").alias("a"))
+    right = dealt.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1))).select(*keys, "part", F.col("x").alias("b"), F.col("taken").alias("also"))
     first = F.col("a.id") < F.col("b.id")
+    met = left.join(right, [*keys, "part"])
+    if chosen is None:
+        return met.where(first).select("block_key", "a", "b")
+    met = met.where((F.col("a.id") != F.col("b.id")) & (~F.col("also") | first))
     return met.select("block_key", F.when(first, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("b"))
 
 
-def find_candidates(persons: DataFrame, threshold: float = scores.THRESHOLD, new_ids: DataFrame | None = None) -> DataFrame:
-    """(left_id, right_id, blocking_key, score, reasons, priority) for pairs of a block that reach the threshold.
+def _pairs(persons: DataFrame, new_ids: DataFrame | None, threshold: float) -> DataFrame:
+    """(block_key, a, b): what is compared of the two records of each pair of a block that can reach the threshold, smaller id first.
+
+    The compared fields travel with the block keys, so pairs are made once, in one join, and never
+    shuffled. Where no pair can reach the threshold without an equal identifier, that identifier, and
+    whatever else the weights then leave no choice about, joins the key (`_routes`): a block of a common
+    name or number makes no pairs that are bound to fail. Names join it too where names that differ
+    cannot reach the threshold; the few so long that they could are joined apart. With new_ids, pairs
+    of two old records never arise.
+    """
+    keyed = persons.where(F.trim("id") != "").select("id", F.explode(F.array_distinct(F.filter("block_keys", lambda k: k != ""))).alias("block_key")).distinct()
+    rows = keyed.join(comparable(persons), "id").select("block_key", F.struct("id", "name", "hmac", "partial", "place", "ages", "status").alias("x"))
+    fresh = None
+    if new_ids is not None:
+        marked = new_ids.select("id", F.lit(True).alias("fresh")).distinct()
+        rows = rows.withColumn("id", F.col("x.id")).join(marked, "id", "left").select("block_key", F.col("x").withField("fresh", F.coalesce("fresh", F.lit(False))).alias("x"))
+        fresh = F.col("x.fresh")
+    routes = _routes(threshold)
+    if routes is None:
+        return _met(rows.withColumn("on", F.array(F.lit(""))), fresh)
+    found = None
+    for kind, spare in routes.items():
+        agreeing = _agreeing(rows, kind, spare)
+        least = scores.WEIGHTS["name"] * 0.2 / spare if spare else float("inf")  # characters from which names that differ can do
+        if least > LONG_NAME:
+            named = agreeing.withColumn("on", F.concat("on", F.array("x.name")))
+            long = _met(agreeing, F.length("x.name") >= F.lit(least)).where(F.col("a.name") != F.col("b.name"))
+            met = _met(named, fresh).unionByName(long if fresh is None else long.where(F.col("a.fresh") | F.col("b.fresh")))
+        else:
+            met = _met(agreeing, fresh)
+        if kind == "partial":  # pairs of equal full identifiers have come by their own route
+            met = met.where((F.col("a.hmac") == "") | (F.col("a.hmac") != F.col("b.hmac")))
+        found = met if found is None else found.unionByName(met)
+    return _met(rows.where("false").withColumn("on", F.array(F.lit(""))), fresh) if found is None else found
+
+
+#: Names of more characters than this are few: where only they could differ, equal names join the key.
+LONG_NAME = 200
+
+
+def find_candidates(persons: DataFrame, threshold: float = scores.THRESHOLD, new_ids: DataFrame | None = None, exact: bool = False) -> DataFrame:
+    """(left_id, right_id, blocking_key, score, reasons, priority) for pairs of a block that reach the threshold; with exact also `exact`, the score before it is rounded to four places.
 
     Pairs come from an equality join on the block key, smaller id left. Two different full identifiers
-    veto a pair. Whatever a pair can score beyond its name is known before the name is compared, so pairs
-    that even equal names could not lift to the threshold never reach the string function; this loses none.
-    With new_ids, pairs of two old records are left out.
+    veto a pair. Whatever a pair can score beyond its name, and the most that two names of their lengths
+    can, is known before the names are compared, so pairs that cannot reach the threshold never reach
+    the string function; this loses none. With new_ids, pairs of two old records are left out.
     """
-    sided = _pairs(persons, new_ids)
+    sided = _pairs(persons, new_ids, threshold)
     a, b = _fields("a"), _fields("b")
     w = scores.WEIGHTS
     veto = (a["hmac"] != "") & (b["hmac"] != "") & (a["hmac"] != b["hmac"])
@@ -91,10 +157,10 @@ def find_candidates(persons: DataFrame, threshold: float = scores.THRESHOLD, new
     }
     known = sided.where(~veto).select(F.col("a.id").alias("left_id"), F.col("b.id").alias("right_id"), F.col("block_key").alias("blocking_key"), a["name"].alias("na"), b["name"].alias("nb"), *[v.alias(k) for k, v in parts.items()])
     rest = F.col("cedula") + F.col("location") + F.col("age") + F.col("status")
-    possible = known.where(F.round(rest + w["name"], 4) >= threshold)
-    named = possible.withColumn("name", w["name"] * scores.jaro_winkler_udf("na", "nb")).withColumn("score", F.round(F.col("name") + rest, 4))
+    possible = known.where(rest + w["name"] * _bound(F.col("na"), F.col("nb")) + MARGIN >= threshold)
+    named = possible.withColumn("name", w["name"] * scores.jaro_winkler_udf("na", "nb")).withColumn("exact", F.col("name") + F.col("cedula") + F.col("location") + F.col("status") + F.col("age")).withColumn("score", F.round("exact", 4))
     reasons = F.map_from_arrays(F.array(*[F.lit(k) for k in w]), F.array(*[F.round(F.col(k), 4) for k in w]))
-    return named.where((F.col("score") >= threshold) & (F.col("score") > 0)).select("left_id", "right_id", "blocking_key", "score", reasons.alias("reasons"), scores.priority(F.col("score")).alias("priority"))
+    return named.where((F.col("score") >= threshold) & (F.col("score") > 0)).select("left_id", "right_id", "blocking_key", "score", reasons.alias("reasons"), scores.priority(F.col("score")).alias("priority"), *(["exact"] if exact else []))
 
 
 def merge_candidates(existing: DataFrame, found: DataFrame) -> DataFrame:

@@ -390,8 +390,8 @@ def block_stats(spark, sf_dir):
 
 @query(EDGES_SQL + "select left_id, right_id, blocking_key, round(score, 3) as score, case when round(score, 4) >= 0.95 then 2 else 1 end as priority from s where not veto and round(score, 4) >= 0.85")
 def candidate_edges(spark, sf_dir):
-    found = candidates.find_candidates(persons(spark, sf_dir))
-    return found.select("left_id", "right_id", "blocking_key", F.round("score", 3).alias("score"), "priority")
+    found = candidates.find_candidates(persons(spark, sf_dir), exact=True)
+    return found.select("left_id", "right_id", "blocking_key", F.round("exact", 3).alias("score"), "priority")
 
 
 @query(EDGES_SQL + "select left_id, right_id, blocking_key from s where not veto and round(score, 4) >= 0.85 and (right(left_id, 2) = '07' or right(right_id, 2) = '07')")

@@ -52,6 +52,30 @@ def test_bound_loses_no_pair(spark):
     assert every == candidates.find_candidates(df).count() > 0
 
 
+def test_a_common_name_or_number_makes_no_pairs_that_fail(spark):
+    """A block of one name, or of one partial number with different places, has no pair that can reach the threshold, so none is made."""
+    same = [person(f"n{i:03}", "Ana Díaz", keys=("phon:ana",)) for i in range(200)]
+    partial = [person(f"p{i:03}", "Ana Díaz", keys=("part:12",), place=f"Chacao, E{i}", kind="partial", partial="12") for i in range(200)]
+    full = [person(f"f{i}", "Ana Díaz", "h", ("ced:h",)) for i in range(3)]
+    assert candidates._pairs(spark.createDataFrame(same + partial + full, PERSON), None, 0.85).count() == 3
+
+
+def test_pairs_that_can_reach_the_threshold_are_all_made(spark):
+    """Against all pairs of the blocks, with names so long that they differ and still count, and for new records alone."""
+    rng = random.Random(3)
+    long = " ".join(rng.choice(["ana", "luis", "mora", "diaz"]) for _ in range(600))
+    names = [long, long[:1500] + "x" + long[1501:], long[:900] + long[901] + long[900] + long[902:], "ana mora", "ana moras", "", None]
+    people = [person(f"{i:03}", rng.choice(names if i < 12 else names[3:]), rng.choice([None, None, "h1", "h2"]), ("k", "l") if i % 3 else ("k",), rng.choice(["A, B", "C, B", "D"]) if i >= 12 else "A, B", rng.choice(["partial", "none"]) if i >= 12 else "partial", rng.choice(["12", "34"]) if i >= 12 else "12") for i in range(60)]
+    df = spark.createDataFrame(people, PERSON)
+    new = df.where("id < '030'").select("id")
+    for ids in (None, new):
+        edges = lambda least: sorted((r["left_id"], r["right_id"], r["blocking_key"], r["score"]) for r in candidates.find_candidates(df, least, ids).collect() if r["score"] >= 0.85)
+        want = edges(0.0001)
+        assert edges(0.85) == want and len({w[:2] for w in want}) > 20
+        lengths = {p[0]: p[1] for p in people}
+        assert any(lengths[a] != lengths[b] and len(lengths[a]) > 800 for a, b, *_ in want)
+
+
 def test_new_against_old_only(spark):
     df = spark.createDataFrame([person(i, "Ana", "h") for i in "abc"], PERSON)
     got = candidates.find_candidates(df, new_ids=df.where("id = 'c'").select("id")).collect()

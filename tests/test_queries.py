@@ -49,3 +49,14 @@ def test_allowed_domains_has_no_cap(spark, tmp_path):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from read_parquet('{tmp_path}/pages.parquet/*.parquet')")
     assert plain(got) == plain(con.execute(catalogue.oracle_sql()["allowed_domains"]).df()) and got.allowed.sum() == 10_051
+
+
+def test_scores_are_rounded_once(spark, tmp_path):
+    """Rounded to four places first, the score of this pair would end one higher than its SQL says."""
+    parts = [(13476, 'new widget', 'Brand#23', 'STANDARD', 45), (24987, 'cold widget', 'Brand#23', 'STANDARD', 45), (37602, 'cold widget', 'Brand#8', 'SMALL', 7), (53541, 'cold plate', 'Brand#8', 'SMALL', 7)]
+    columns = "p_partkey long, p_name string, p_brand string, p_type string, p_size int"
+    spark.createDataFrame(parts, columns).write.parquet(f"{tmp_path}/part.parquet")
+    got = catalogue.queries()["candidate_edges"](spark, str(tmp_path)).toPandas()
+    con = duckdb.connect()
+    con.execute(f"create view part as select * from read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    assert plain(got) == plain(con.execute(catalogue.oracle_sql()["candidate_edges"]).df()) and len(got) == 2
