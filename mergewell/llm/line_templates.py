@@ -21,7 +21,7 @@ SIMILARITY = 0.8
 DIRECT = 64
 #: Lines of fewer tokens are dropped only if they have this many characters.
 MIN_TOKENS, MIN_CHARS = 3, 24
-#: Lines of a leaf from which it grows a level: it is divided by the tokens of the position that has the fewest different ones.
+#: Lines of a leaf beyond which several tasks gather its templates, each with at most so many lines at a time; the templates are the same.
 LEAF_FORMS = 20_000
 #: Distinct texts from which a template is recurring: for lines of up to LONG tokens, and for longer ones, which count as passages: one repetition is enough for them.
 MIN_DOCS, LONG, MIN_DOCS_LONG = 3, 50, 2
@@ -108,13 +108,8 @@ def _commonest(forms: np.ndarray) -> np.ndarray:
     return out
 
 
-def gathered(forms: np.ndarray) -> np.ndarray:
-    """For the distinct forms of a leaf, the most frequent first, the row of the form whose template each follows.
-
-    The first form not yet assigned is the next seed and takes all that agree with it, until none is left.
-    Forms that stayed alone then join the commonest form of an earlier template, if they agree with
-    that, and at last those that agree with their own commonest form join each other.
-    """
+def _led(forms: np.ndarray) -> np.ndarray:
+    """The first step of `gathered`: the row of the first form that each agrees with among those that agree with none before them."""
     m, n = forms.shape
     owner = np.arange(m)
     if m <= DIRECT:
@@ -131,6 +126,19 @@ def gathered(forms: np.ndarray) -> np.ndarray:
                 rows.append(i)
             else:
                 owner[i] = rows[found]
+    return owner
+
+
+def gathered(forms: np.ndarray) -> np.ndarray:
+    """For the distinct forms of a leaf, the most frequent first, the row of the form whose template each follows.
+
+    The first form not yet assigned is the next seed and takes all that agree with it, until none is left.
+    Forms that stayed alone then join the commonest form of an earlier template, if they agree with
+    that, and at last those that agree with their own commonest form join each other. `_gathered_apart`
+    gives the same for leaves of any size.
+    """
+    m, n = forms.shape
+    owner = _led(forms)
     sizes = np.bincount(owner, minlength=m)
     alone = np.flatnonzero(sizes[owner] == 1)
     large = np.flatnonzero(sizes > 2)
@@ -152,12 +160,12 @@ def gathered(forms: np.ndarray) -> np.ndarray:
     return owner
 
 
-def _assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _assigned(batches: Iterator[pa.RecordBatch], gather=gathered) -> Iterator[pa.RecordBatch]:
     """(h, template) of the forms that follow another one's template, from (h, leaf, tokens) sorted by leaf; a leaf is held at a time."""
 
     def closed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         h, forms = np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
-        owner = gathered(forms)
+        owner = gather(forms)
         other = owner != np.arange(len(h))
         return h[other], h[owner[other]]
 
@@ -186,28 +194,100 @@ def _pairs(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["h", "template"])
 
 
-def _grown(forms: DataFrame, sizes: DataFrame, rows: int) -> DataFrame:
-    """forms of (h, leaf, tokens, docs) with leaves of at most LEAF_FORMS, unless one token position tells no two forms apart any more; sizes has (leaf, forms).
+def _following(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, template) of the rows with rest = 1 that agree with a seed (rest = 0), the earliest, from rows sorted by leaf, part, rest and rank."""
+    at, seeds, names = None, None, []
+    for batch in batches:
+        columns = (batch.column(c).to_numpy() for c in ("h", "leaf", "part", "rest"))
+        lists = batch.column("tokens")
+        ends, flat, out = lists.offsets.to_numpy(), lists.values.to_numpy(), []
+        for i, (h, leaf, part, rest) in enumerate(zip(*columns)):
+            form = flat[ends[i] : ends[i + 1]]
+            if (leaf, part) != at:
+                at, seeds, names = (leaf, part), _Seeds(len(form)), []
+            if rest:
+                found = seeds.find(form)
+                if found is not None:
+                    out.append((h, names[found]))
+            else:
+                seeds.add(form.copy())
+                names.append(h)
+        h, template = np.array(out, np.int64).reshape(-1, 2).T
+        yield _pairs([(h, template)])
+
+
+def _rank() -> list[Column]:
+    """The order of the forms of a leaf, the most frequent first."""
+    return [F.desc("docs"), F.col("h")]
+
+
+def _followed(seeds: DataFrame, rest: DataFrame, rows: int) -> DataFrame:
+    """(h, template) of the rest that agrees with seeds of its leaf, the first by rank; both have (h, leaf, tokens, docs). Each task has the seeds and LEAF_FORMS or so of the rest."""
+    parts = rest.groupBy("leaf").agg(F.ceil(F.count("*") / LEAF_FORMS).cast("int").alias("parts"))
+    led = seeds.join(parts, "leaf").select("h", "leaf", "tokens", "docs", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("rest"))
+    met = rest.join(parts, "leaf").select("h", "leaf", "tokens", "docs", F.pmod(F.xxhash64("h"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("rest"))
+    sorted_ = led.unionByName(met).repartition("leaf", "part").sortWithinPartitions("leaf", "part", "rest", *_rank()).select("h", "leaf", "tokens", "part", "rest")
+    return cut_lineage(sorted_.mapInArrow(_following, "h long, template long"), rows)
+
+
+def _heads(forms: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """forms as those of each leaf that come first by rank, LEAF_FORMS of them at most, and the others."""
+    ordered = forms.orderBy("leaf", *_rank()).withColumn("at", F.monotonically_increasing_id())
+    # ids grow by one within a partition, whose number is in their bits from 33 on
+    block = F.struct(F.shiftright("at", 33).alias("file"), F.floor(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) / LEAF_FORMS).alias("part"))
+    blocks = cut_lineage(ordered.withColumn("block", block).drop("at"), rows)
+    first = blocks.groupBy("leaf").agg(F.min("block").alias("first"))
+    split = blocks.join(first, "leaf")
+    columns = forms.columns
+    return split.where(F.col("block") == F.col("first")).select(*columns), split.where(F.col("block") != F.col("first")).select(*columns)
+
+
+def _common(forms: DataFrame, *keys: str) -> DataFrame:
+    """(keys, common): the most frequent token of each position, ties by the larger hash."""
+    counts = forms.select(*keys, F.posexplode("tokens").alias("pos", "token")).groupBy(*keys, "pos", "token").agg(F.count("*").alias("n"))
+    chosen = counts.groupBy(*keys, "pos").agg(F.max(F.struct("n", "token"))["token"].alias("token"))
+    return chosen.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "token"))), lambda x: x["token"]).alias("common"))
+
+
+def _gathered_apart(forms: DataFrame, rows: int) -> DataFrame:
+    """(h, template) as `gathered` assigns the forms of (h, leaf, tokens, docs) that follow another's template, without a leaf in one task.
 
-    A leaf with more grows a level, as often as needed: it is divided by the tokens of the position, after
-    the leading ones, that has the fewest different tokens but more than one, which is where templates
-    differ rather than the fields of one. Every division lowers the largest leaf, so a task holds a
-    bounded number of forms however many lines start alike.
+    A form's seed is the first that it agrees with, and whether a form is a seed depends on those before
+    it alone. So the first forms of a leaf are gathered in one task, the others are compared with the
+    seeds found there, in as many tasks as they need, and what agrees with none goes on likewise. The
+    forms that stay alone are then compared with the commonest forms, those of the first templates
+    first, and at last with their own.
     """
+    owned, left = None, forms
+    while not left.isEmpty():
+        head, others = _heads(left, rows)
+        inner = head.repartition("leaf").sortWithinPartitions("leaf", *_rank()).select("h", "leaf", "tokens").mapInArrow(lambda x: _assigned(x, _led), "h long, template long")
+        inner = cut_lineage(inner, rows)
+        seeds = cut_lineage(head.join(inner, "h", "left_anti"), rows)
+        outer = _followed(seeds, others, rows)
+        found = inner.unionByName(outer).unionByName(seeds.select("h", F.col("h").alias("template")))
+        owned = found if owned is None else owned.unionByName(found)
+        left = cut_lineage(others.join(outer, "h", "left_anti"), rows)
+    sizes = cut_lineage(owned.groupBy("template").agg(F.count("*").alias("n")), rows)
+    taken = owned.where("h <> template")
+    alone = cut_lineage(forms.join(sizes.where("n = 1").select(F.col("template").alias("h")), "h", "left_semi"), rows)
+    members = forms.join(owned.join(sizes.where("n > 2"), "template"), "h").select("template", "tokens")
+    common = forms.select("h", "leaf", "docs").join(_common(members, "template").withColumnRenamed("template", "h"), "h").select("h", "leaf", F.col("common").alias("tokens"), "docs")
+    common = cut_lineage(common, rows)
+    while not common.isEmpty():
+        head, common = _heads(common, rows)
+        met = _followed(head, alone, rows)
+        taken, alone, common = taken.unionByName(met), cut_lineage(alone.join(met, "h", "left_anti"), rows), cut_lineage(common, rows)
+    n = F.size("tokens")
+    fits = F.size(F.filter(F.zip_with("tokens", "common", lambda a, b: a != b), lambda x: x)) <= n - F.floor((n * round(SIMILARITY * 10) + 9) / 10)
     while True:
-        large = cut_lineage(sizes.where(F.col("forms") > LEAF_FORMS).select("leaf"), 1)
-        found = large.count()
-        if not found:
-            return forms
-        listed = F.broadcast(large) if found <= BROADCAST_ROWS else large
-        forms = cut_lineage(forms, rows)
-        tokens = forms.join(listed, "leaf", "left_semi").select("leaf", F.posexplode("tokens").alias("at", "token")).where(F.col("at") >= DEPTH)
-        kinds = tokens.distinct().groupBy("leaf", "at").agg(F.count("*").alias("kinds")).where("kinds > 1")
-        best = cut_lineage(kinds.groupBy("leaf").agg(F.min(F.struct("kinds", "at")).alias("best")).select("leaf", F.col("best.at").alias("at")), 1)
-        divided = forms.join(F.broadcast(best) if found <= BROADCAST_ROWS else best, "leaf", "left")
-        into = F.when(F.col("at").isNotNull(), F.xxhash64("leaf", "at", F.get("tokens", F.col("at")))).otherwise(F.col("leaf"))
-        forms = divided.select("h", into.alias("leaf"), "tokens", "docs")
-        sizes = forms.groupBy("leaf").agg(F.count("*").alias("forms"))
+        fit = alone.join(_common(alone, "leaf"), "leaf").where(fits)
+        joined = fit.groupBy("leaf").agg(F.count("*").alias("n"), F.min_by("h", F.struct(-F.col("docs"), "h")).alias("template")).where("n > 1")
+        met = cut_lineage(fit.join(joined, "leaf").select("h", "leaf", "template"), rows)
+        if met.isEmpty():
+            return taken
+        taken = taken.unionByName(met.where("h <> template").select("h", "template"))
+        alone = cut_lineage(alone.join(met.select("leaf").distinct(), "leaf", "left_semi").join(met, "h", "left_anti"), rows)
 
 
 def _generalised(documents: DataFrame, text: str, stats: DataFrame, rows: int) -> DataFrame:
@@ -218,9 +298,17 @@ def _generalised(documents: DataFrame, text: str, stats: DataFrame, rows: int) -
     wanted = F.broadcast(leaves.select("leaf")) if few else leaves.select("leaf")
     met = _lines(documents, text, "form").select("leaf", "n", "form").join(wanted, "leaf", "left_semi")
     hashed = met.select(F.xxhash64("form").alias("h"), "leaf", F.transform(F.split("form", " "), lambda t: F.hash(t)).alias("tokens"))
-    ranked = _grown(hashed.dropDuplicates(["h"]).join(stats.select("h", "docs"), "h"), leaves, rows)
-    sorted_ = ranked.repartition("leaf").sortWithinPartitions("leaf", F.desc("docs"), "h").select("h", "leaf", "tokens")
-    return cut_lineage(sorted_.mapInArrow(_assigned, "h long, template long"), rows)
+    ranked = hashed.dropDuplicates(["h"]).join(stats.select("h", "docs"), "h").select("h", "leaf", "tokens", "docs")
+    large = leaves.where(F.col("forms") > LEAF_FORMS).select("leaf")
+    found = large.count()
+    if found:
+        ranked = cut_lineage(ranked, rows)
+        large = F.broadcast(large) if found <= BROADCAST_ROWS else large
+        apart = _gathered_apart(ranked.join(large, "leaf", "left_semi"), rows)
+        ranked = ranked.join(large, "leaf", "left_anti")
+    sorted_ = ranked.repartition("leaf").sortWithinPartitions("leaf", *_rank()).select("h", "leaf", "tokens")
+    whole = cut_lineage(sorted_.mapInArrow(_assigned, "h long, template long"), rows)
+    return whole.unionByName(apart) if found else whole
 
 
 def _templates(documents: DataFrame, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -371,6 +371,43 @@ def test_line_dedup_of_odd_rows(odd, empty):
     assert line_templates.drop_recurring_lines(empty)[0].count() == 0
 
 
+def test_leaves_of_any_size_have_the_same_templates(spark, monkeypatch):
+    """Several tasks with a few lines each assign what `gathered` does with the whole leaf at once."""
+    rng = np.random.default_rng(5)
+    leaves, n = {}, 12
+    for leaf, m in enumerate((150, 90, 40, 7)):
+        bases = rng.integers(-9, 9, (6, n)).astype(np.int32)
+        forms = bases[rng.integers(0, len(bases), m)]
+        for row in forms:
+            where = rng.choice(np.arange(3, n), rng.integers(0, 5), replace=False)
+            row[where] = rng.integers(100, 140, len(where))
+        forms[:, :3] = leaf
+        forms = np.unique(forms, axis=0)
+        rng.shuffle(forms)
+        h = rng.choice(10**6, len(forms), replace=False) - 500_000 + leaf * 10**7
+        docs = np.sort(rng.integers(1, 4, len(forms)))[::-1]
+        order = np.lexsort((h, -docs))
+        leaves[leaf] = (h[order], docs[order], forms[order])
+    frame = spark.createDataFrame([(int(a), leaf, [int(x) for x in f], int(d)) for leaf, (h, docs, forms) in leaves.items() for a, d, f in zip(h, docs, forms)], "h long, leaf long, tokens array<int>, docs long").repartition(3)
+    want, steps = {}, [0, 0]
+    for h, docs, forms in leaves.values():
+        owner = line_templates.gathered(forms)
+        want |= {int(h[i]): int(h[o]) for i, o in enumerate(owner) if i != o}
+        steps[0] += (owner != line_templates._led(forms)).sum()
+    assert steps[0] > 2
+    for most in (16, 1000):
+        monkeypatch.setattr(line_templates, "LEAF_FORMS", most)
+        got = [tuple(r) for r in line_templates._gathered_apart(frame, 300).collect()]
+        assert dict(got) == want and len(got) == len(want)
+
+
+def test_a_field_of_few_values_divides_no_template(spark, monkeypatch):
+    monkeypatch.setattr(line_templates, "LEAF_FORMS", 10)
+    texts = [f"alpha beta gamma delta epsilon {a} zeta {b} eta theta" for b in "pqrstuvw" for a in ("left", "right")]
+    cleaned, _ = line_templates.drop_recurring_lines(spark.createDataFrame(rows(texts), SCHEMA))
+    assert sorted(r["text"] for r in cleaned.collect()) == [""] * 15 + [texts[0]]
+
+
 # 8
 
 
