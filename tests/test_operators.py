@@ -76,6 +76,33 @@ def test_pairs_that_can_reach_the_threshold_are_all_made(spark):
         assert any(lengths[a] != lengths[b] and len(lengths[a]) > 800 for a, b, *_ in want)
 
 
+def test_equal_records_are_scored_as_one(spark, monkeypatch):
+    """Copies make one pair of groups, not one for each two of them, and lose none of their edges; also where their group is divided, and for new records alone."""
+    people = [person(f"{i:03}", ["Ana Díaz", "Ana Dias", "Luis Mora"][i % 3], "h", ("ced:h",)) for i in range(90)]
+    df = spark.createDataFrame(people, PERSON)
+    assert candidates._group_pairs(df, None, 0.85).count() <= 9
+    alike = lambda a, b: {int(a) % 3, int(b) % 3} != {0, 2} and {int(a) % 3, int(b) % 3} != {1, 2}
+    want = {(f"{i:03}", f"{j:03}") for i in range(90) for j in range(i + 1, 90) if alike(i, j)}
+    for most in (1000, 7):
+        monkeypatch.setattr(candidates, "HOT_BLOCK", most)
+        got = [(r["left_id"], r["right_id"]) for r in candidates.find_candidates(df).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+        got = [(r["left_id"], r["right_id"]) for r in candidates.find_candidates(df, new_ids=df.where("id in ('004', '010', '050')").select("id")).collect()]
+        assert len(got) == len(set(got)) and set(got) == {w for w in want if {"004", "010", "050"} & set(w)}
+
+
+def test_a_merge_deals_its_edges_once(spark):
+    """Found and existing edges, doubled and lacking ones too, meet in one exchange and without a join."""
+    edge = "left_id string, right_id string, blocking_key string, score double, reasons map<string,double>, priority int"
+    found = spark.createDataFrame([("a", "b", "k", 0.9, {"name": 0.4}, 1), ("b", "a", "k", 0.9, {"name": 0.4}, 1), ("a", "c", "k", 0.95, {}, 2), (None, "c", None, 0.9, {}, 1)], edge)
+    old = spark.createDataFrame([("b", "a", "k", 0.1, {}, 1, "rejected"), ("a", "b", "k", 0.2, {}, 1, "accepted"), ("a", "b", "other", 0.3, {}, 2, None), (None, "c", None, 0.4, {}, 1, "rejected")], edge + ", decision string")
+    merged = candidates.merge_candidates(old, found)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 1
+    got = sorted((str(r["left_id"]), r["right_id"], str(r["blocking_key"]), r["score"], r["priority"], r["decision"], len(r["reasons"])) for r in merged.collect())
+    assert got == [("a", "b", "k", 0.9, 1, "accepted", 1), ("a", "b", "other", 0.3, 2, "pending", 0), ("a", "c", "k", 0.95, 2, "pending", 0), ("b", "a", "k", 0.9, 1, "rejected", 1), ("c", "c", "None", 0.4, 1, "rejected", 0), ("c", "c", "None", 0.9, 1, "pending", 0)]
+
+
 def test_new_against_old_only(spark):
     df = spark.createDataFrame([person(i, "Ana", "h") for i in "abc"], PERSON)
     got = candidates.find_candidates(df, new_ids=df.where("id = 'c'").select("id")).collect()
