@@ -35,6 +35,21 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Spark's setting (4.1 on) for queries built from now on: their shuffle files are deleted once they have run.
+DELETE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    """An eager checkpoint. The shuffle files of its query go at once; else they would stay until the driver collects its garbage, and many small queries would pile them up."""
+    conf = df.sparkSession.conf
+    before = conf.get(DELETE_SHUFFLES, "false")
+    conf.set(DELETE_SHUFFLES, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a new query, which takes the setting
+    finally:
+        conf.set(DELETE_SHUFFLES, before)
+
+
 #: Rows of a narrow table that one checkpoint file should hold.
 ROWS_PER_FILE = 25_000
 
@@ -49,13 +64,13 @@ def cut_lineage(df: DataFrame, rows: int | None = None) -> DataFrame:
     shared_folder(df.sparkSession)
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_PER_FILE)))
-    return df.checkpoint(eager=True)
+    return _checkpointed(df)
 
 
 def cut_scan(df: DataFrame, source: DataFrame, share: int = 8) -> DataFrame:
     """As cut_lineage, for narrow rows computed while scanning the wide rows of source: they are gathered from `share` scan tasks into a file."""
     shared_folder(df.sparkSession)
-    return df.repartition(max(1, -(-source.rdd.getNumPartitions() // share))).checkpoint(eager=True)
+    return _checkpointed(df.repartition(max(1, -(-source.rdd.getNumPartitions() // share))))
 
 
 #: Bytes of a file, or rows where their number is given, that are worth a task of their own.
